@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.llm import licences, mixing, packing, quality_rules, secrets, sharding
+from neumata.llm import licences, mixing, packing, quality_rules, secrets, sharding, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,10 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licensed(_table(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark, _table(spark, sf_dir, "embeddings"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.counts(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,11 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+    return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 OP1_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -127,6 +136,26 @@ FROM judged
 """
 
 
+OP6_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach AS (
+    SELECT vec_id AS node, vec_id AS seen FROM embeddings
+    UNION
+    SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a
+), named AS (
+    SELECT node, min(seen) AS component_id FROM reach GROUP BY node
+)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, n.component_id, e.vec_id = n.component_id AS kept
+FROM embeddings e JOIN named n ON e.vec_id = n.node
+"""
+
+
 def _licence_sql() -> str:
     known = ", ".join(f"'{text}': '<{i}>'" for i, text in licences.SENTENCES.items())
     layers = "".join(
@@ -154,8 +183,18 @@ FROM r{len(licences.ordered_rules())}
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_mix_sources, op2_quality_rules, op3_pack_sequences, op5_licences, op7_secrets, op9_shard)}
+    every = (
+        op1_mix_sources,
+        op2_quality_rules,
+        op3_pack_sequences,
+        op5_licences,
+        op6_near_vectors,
+        op7_secrets,
+        op9_shard,
+        op10_simhash,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": _licence_sql()}
+    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": _licence_sql(), "op6_near_vectors": OP6_SQL}
