@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.llm import licences, mixing, packing, quality_rules, secrets, sharding, simhash, vectors
+from neumata.llm import licences, mixing, packing, quality_rules, secrets, sharding, simhash, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.counts(_table(spark, sf_dir, "documents"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicated(spark, _table(spark, sf_dir, "documents"))
+
+
 def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(spark, _table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id",
@@ -156,6 +160,28 @@ FROM embeddings e JOIN named n ON e.vec_id = n.node
 """
 
 
+OP8_SQL = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i+19], ' ') AS w
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS i FROM split WHERE len(words) >= 20)
+), later AS (
+    SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS k FROM windows) WHERE k > 1
+), gone AS (
+    SELECT DISTINCT doc_id, pos FROM (SELECT doc_id, unnest(generate_series(i, i + 19)) AS pos FROM later)
+), placed AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM split
+), left_over AS (
+    SELECT p.doc_id, count(*) FILTER (g.pos IS NULL) AS n_kept, string_agg(CASE WHEN g.pos IS NULL THEN word END, ' ' ORDER BY p.pos) AS kept
+    FROM placed p LEFT JOIN gone g ON p.doc_id = g.doc_id AND p.pos = g.pos GROUP BY p.doc_id
+)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN left_over l ON s.doc_id = l.doc_id
+"""
+
+
 def _licence_sql() -> str:
     known = ", ".join(f"'{text}': '<{i}>'" for i, text in licences.SENTENCES.items())
     layers = "".join(
@@ -190,6 +216,7 @@ def queries() -> dict[str, Query]:
         op5_licences,
         op6_near_vectors,
         op7_secrets,
+        op8_substrings,
         op9_shard,
         op10_simhash,
     )
@@ -197,4 +224,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": _licence_sql(), "op6_near_vectors": OP6_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": _licence_sql(), "op6_near_vectors": OP6_SQL, "op8_substrings": OP8_SQL}
