@@ -1,4 +1,58 @@
-"""The corpus pipeline: quality rules, near-duplicates, secrets, mixing, packing; each stage written and read again."""
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+"""The corpus pipeline: every stage reads what the one before it wrote.
+
+Quality rules, SimHash near-duplicates, secrets, source mixing, sequence packing.
+All but the last stage return the columns of documents. SQL cannot express the
+fingerprints, the entropy windows and the packing, so there is no ORACLE_SQL; the
+tests compare the rows with a plain Python version.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from neumata.llm import mixing, packing, quality_rules, secrets, simhash
+from neumata.llm.shared import Scratch
+
+ORACLE_SQL = None
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality_rules.keep_good(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked fingerprints."""
+    return simhash.keep_one(spark, docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the secrets in them replaced by a mark."""
+    return secrets.redacted(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents the mix takes, as often as it takes them."""
+    return mixing.mixed_documents(spark, docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their ids, sequence and offset."""
+    return packing.packed(packing.tokenised(docs), docs.count())
+
+
+STAGES = [
+    ("quality rules", filter_quality),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("secret scans", redact_secrets),
+    ("source mixing", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "pipeline")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for number, (_, stage) in enumerate(STAGES[:-1]):
+        docs = scratch.keep(stage(spark, docs, sf_dir), str(number))
+    return STAGES[-1][1](spark, docs, sf_dir)

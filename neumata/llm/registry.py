@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.llm import licences, mixing, packing, quality_rules, secrets, sharding, simhash, substrings, vectors
+from neumata.llm import classifier, licences, mixing, packing, quality_rules, secrets, sharding, simhash, substrings, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.tokenised(docs, columns=("ids_crc32",)), docs.count())
 
 
+def op4_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scored(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licensed(_table(spark, sf_dir, "documents")).withColumn("licences", F.array_join("licences", ","))
 
@@ -213,6 +217,7 @@ def queries() -> dict[str, Query]:
         op1_mix_sources,
         op2_quality_rules,
         op3_pack_sequences,
+        op4_quality_scores,
         op5_licences,
         op6_near_vectors,
         op7_secrets,
