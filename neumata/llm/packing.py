@@ -16,9 +16,11 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from neumata.llm.shared import Scratch
+
 CAPACITY = 2048
 END = 0
 #: Pieces in a block. A block leaves one or two bins badly filled, of some thousands.
@@ -126,6 +128,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
 def packed(pieces: DataFrame, n_documents: int, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """``pieces`` (doc_id, piece, length and any others) with sequence_id and offset.
 
+    The pieces are written to the shared folder first, so that texts are tokenised once.
     n_documents bounds the number of pieces that are not full, and so sets the number
     of blocks. A row's block depends on its key and its input partition: equal rows
     from all over the table, however many, do not meet in one block. sequence_id is
@@ -134,6 +137,7 @@ def packed(pieces: DataFrame, n_documents: int, capacity: int = CAPACITY, block:
     spark = pieces.sparkSession
     blocks = max(1, -(-n_documents // block))
     names = pieces.columns
+    pieces = Scratch(spark, "packing").keep(pieces, "pieces")
     full = pieces.where(F.col("length") >= capacity).select(
         *names, (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
