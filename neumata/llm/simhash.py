@@ -100,24 +100,26 @@ def thresholds(cost: list[list[float]], tau: int) -> tuple[float, list[int]]:
 def plan(sample: np.ndarray, n: int, tau: int = TAU) -> list[tuple[list[int], int]]:
     """Parts and thresholds of least estimated work for n classes, of those with one to tau + 1 parts.
 
-    Work is probes made plus pairs met; the share of pairs within t bits in a part is
-    taken from the pairs of the sample, with one pair added so that none is free.
+    Work is probes made plus partners met. A class's partners are estimated from those
+    that it has in the sample, with one pair added in all so that no part is free; a
+    class in a crowd costs its BITS + 1 files, however large the crowd.
     """
     if len(sample) < 2:
         return [(part, 0) for part in grouped_bits(np.arange(4, dtype=np.uint64), tau + 1)]
-    pairs = len(sample) * (len(sample) - 1) / 2
+    scale = n / len(sample)
     options = []
     for parts in range(1, tau + 2):
         groups, cost = grouped_bits(sample, parts), []
         for part in groups:
             mask = np.uint64(sum(1 << b for b in part))
-            near = np.zeros(tau + 1)
+            met = np.full(tau + 1, scale)
             for at in range(0, len(sample), 256):
                 apart = np.bitwise_count((sample[at : at + 256, None] ^ sample[None, :]) & mask)
-                near += [(apart <= t).sum() for t in range(tau + 1)]
-            share = ((near - len(sample)) / 2 + 1) / (pairs + 1)
+                for t in range(tau + 1):
+                    partners = ((apart <= t).sum(1) - 1) * scale * (1 + t) / 2
+                    met[t] += np.minimum(partners, BITS + 1).sum()
             probes = np.cumsum([comb(len(part), t) for t in range(tau + 1)])
-            cost.append([0.0, *(n * probes + share * n * n / 2 * (1 + np.arange(tau + 1)))])
+            cost.append([0.0, *(n * probes + scale * met)])
         options.append((*thresholds(cost, tau), groups))
     _, chosen, groups = min(options, key=lambda o: o[0])
     return [(part, t) for part, t in zip(groups, chosen, strict=True) if t >= 0]
