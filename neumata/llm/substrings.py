@@ -2,14 +2,17 @@
 
 All windows of WINDOW words have a Rabin-Karp hash, but few repeat, so they are not
 all shuffled. Each window has an anchor, the GRAM-word run in it whose hash is least;
-equal windows have equal anchors. The anchors (about one word in seven) are counted
-first; only windows whose anchor occurs twice or more are counted themselves, under
-two independent 64-bit hashes. That loses no repeat. The starts to remove go back to
-their documents, where they merge into maximal intervals.
-
-Counts combine before their shuffle and are joined back, so that a passage of any
-number of documents is split by adaptive execution; no group is gathered but the
-positions of one document.
+equal windows have equal anchors. Consecutive windows with one anchor make a span.
+The anchors of all spans (about one word in seven) are counted first. Of those that
+occur twice or more, spans of equal words are settled whole: all but the first are
+removed. Only where one anchor has different spans are windows counted themselves,
+and only those of each span's first place, under two independent 64-bit hashes. That
+loses no repeat: a window's first place lies in its span's first place. What is to
+be removed goes back to its document and merges into maximal intervals.
+
+Anchors of at most CROWD places are compared within their own group, which bounds
+it. Larger ones are dealt over salts first, and the few firsts of each salt are then
+aggregated, so a passage of any number of documents is gathered nowhere.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from neumata.llm.shared import BLANKS, Scratch, word_count
@@ -30,6 +33,8 @@ WINDOW, GRAM = 20, 8
 #: Odd multipliers of the polynomial hashes.
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 NO_ID = -(1 << 63)
+#: Places of one anchor that are compared in one group.
+CROWD = 4096
 
 
 def split(text: bytes) -> list[bytes]:
@@ -48,19 +53,26 @@ def _powers(base: int, length: int) -> tuple[np.ndarray, np.ndarray]:
     return up(base), up(pow(base, -1, 1 << 64))
 
 
-def rolling(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
-    """The hash of every run of ``width`` words: differences of prefix sums of h[i] * base ** i, scaled back to the
-    run's start and mixed, all modulo 2 ** 64."""
-    n = len(hashes)
-    if n < width:
-        return np.empty(0, np.uint64)
-    power, inverse = _powers(base, 1 << max(10, (n - 1).bit_length()))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:n], dtype=np.uint64)])
-    x = (sums[width:] - sums[:-width]) * inverse[: n - width + 1]
+def _prefix(hashes: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    power, inverse = _powers(base, 1 << max(10, len(hashes).bit_length()))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[: len(hashes)], dtype=np.uint64)]), inverse
+
+
+def runs(hashes: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """The hashes of word runs: differences of prefix sums of h[i] * base ** i, scaled back to the run's start and
+    mixed, all modulo 2 ** 64. Runs of equal words have equal hashes wherever they stand."""
+    sums, inverse = _prefix(hashes, base)
+    x = (sums[stops] - sums[starts]) * inverse[starts]
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(29))
 
 
+def rolling(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
+    """The hash of every run of ``width`` words."""
+    starts = np.arange(max(0, len(hashes) - width + 1))
+    return runs(hashes, starts, starts + width, base)
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
@@ -74,14 +86,111 @@ def anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, views.argmin(1) + np.arange(len(views))
 
 
-def covered(starts: np.ndarray, window: int, n: int) -> np.ndarray:
-    """Which of n words lie in a window that begins at one of ``starts``."""
+def anchor_spans(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor's hash, first window, number of windows) of every span: windows in a row with one anchor."""
+    grams, place = anchors(hashes, window)
+    starts = np.flatnonzero(np.diff(place, prepend=-1))
+    return grams[place[starts]], starts, np.diff(starts, append=len(place))
+
+
+def covered(starts: np.ndarray, stops: np.ndarray, n: int) -> np.ndarray:
+    """Which of n words lie in one of the intervals."""
     change = np.zeros(n + 1, np.int64)
     np.add.at(change, starts, 1)
-    np.add.at(change, starts + window, -1)
+    np.add.at(change, stops, -1)
     return np.cumsum(change)[:n] > 0
 
 
+UNIT = ["unit_id", "text_hash"]
+PLACE = [*UNIT, "start"]
+
+
+def _repeated_spans(texts: DataFrame, window: int) -> DataFrame:
+    """(unit_id, text_hash, start, length, gram, span, n) of every span whose anchor occurs n > 1 times."""
+
+    def rows(grams_only: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at, columns = [], []
+                for row, text in enumerate(batch["text"]):
+                    hashes = word_hashes(split(text.as_py() or b""))
+                    gram, starts, length = anchor_spans(hashes, window)
+                    at.append(np.full(len(gram), row))
+                    if grams_only:
+                        columns.append((gram,))
+                    else:
+                        columns.append((gram, runs(hashes, starts, starts + length + window - 1, BASES[1]), starts, length))
+                if at:
+                    kinds = (np.int64, np.int64, np.int32, np.int32)
+                    parts = [np.concatenate(c) for c in zip(*columns, strict=True)]
+                    arrays = [pa.array(c.view(t) if t is np.int64 and c.dtype == np.uint64 else c.astype(t)) for c, t in zip(parts, kinds)]
+                    names = ["gram", "span", "start", "length"][: len(arrays)]
+                    if not grams_only:
+                        taken = pa.array(np.concatenate(at))
+                        arrays += [batch[c].take(taken) for c in UNIT]
+                        names += UNIT
+                    yield pa.RecordBatch.from_arrays(arrays, names)
+
+        return run
+
+    grams = texts.select("text").mapInArrow(rows(True), "gram long")
+    twice = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    found = texts.mapInArrow(rows(False), "gram long, span long, start int, length int, unit_id long, text_hash long")
+    return found.join(twice, "gram")
+
+
+def _settled(scratch: Scratch, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of repeated spans: the later ones, and the firsts of those whose anchor has other spans too."""
+    crowd = F.col("n") > CROWD
+    salt = F.when(crowd, F.pmod(F.xxhash64(*UNIT), F.ceil(F.col("n") / CROWD))).otherwise(0)
+    group = Window.partitionBy("gram", "salt")
+    order = Window.partitionBy("gram", "salt", "span", "length").orderBy(*PLACE)
+    flagged = (
+        spans.withColumn("salt", salt)
+        .withColumn("apart", crowd | (F.min("span").over(group) != F.max("span").over(group)))
+        .withColumn("first", F.row_number().over(order) == 1)
+    )
+    open_ = F.col("first") & crowd
+    kept = scratch.keep(
+        flagged.where(~F.col("first") | F.col("apart")).select(
+            *PLACE, "length", "n", "first", *(F.when(open_, F.col(c)).alias(c) for c in ("gram", "span"))
+        ),
+        "spans",
+    )
+    salted = kept.where(open_)  # the firsts of each salt
+    key = ["gram", "span", "length"]
+    first = salted.groupBy(*key).agg(F.min(F.struct(*PLACE)).alias("earliest"))
+    settled = salted.join(first, key).withColumn("first", F.struct(*PLACE) == F.col("earliest")).select(*PLACE, "length", "n", "first")
+    every = kept.where(~open_).select(*PLACE, "length", "n", "first").unionByName(settled)
+    return every.where("not first"), every.where("first")
+
+
+def _later_windows(texts: DataFrame, spans: DataFrame, window: int, crowded: bool) -> DataFrame:
+    """Places of the windows in ``spans`` that also start earlier in one of them."""
+    chosen = spans.where((F.col("n") > CROWD) == F.lit(crowded))
+    marked = texts.join(chosen.groupBy(*UNIT).agg(F.collect_list(F.struct("start", "length")).alias("marks")), UNIT)
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                hashes = word_hashes(split(batch["text"][row].as_py()))
+                marks = batch["marks"][row].values
+                first, length = marks.field("start").to_numpy().astype(np.int64), marks.field("length").to_numpy()
+                starts = np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
+                same = pa.array(np.full(len(starts), row))
+                arrays = [pa.array(runs(hashes, starts, starts + window, b).view(np.int64)) for b in BASES]
+                arrays += [batch["unit_id"].take(same), batch["text_hash"].take(same), pa.array(starts.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, ["h1", "h2", *PLACE])
+
+    seen = marked.mapInArrow(windows, "h1 long, h2 long, unit_id long, text_hash long, start int")
+    if not crowded:
+        order = Window.partitionBy("h1", "h2").orderBy(*PLACE)  # CROWD rows at most
+        return seen.withColumn("at", F.row_number().over(order)).where("at > 1").select(*PLACE)
+    place = F.struct(*PLACE)
+    first = seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return seen.join(first, ["h1", "h2"]).where(place > F.col("first")).select(*PLACE)
+
+
 def removals(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows of ``docs`` that lose words: unit_id, text_hash, n_words, n_removed, spans, kept_text.
 
@@ -93,63 +202,32 @@ def removals(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> Data
     Null, empty and shorter texts lose nothing; an empty table gives an empty result.
     """
     scratch = Scratch(spark, "substrings")
-    unit = ["unit_id", "text_hash"]
-    texts = keyed(docs).select(*unit, F.col("text").cast("binary").alias("text"))
+    texts = keyed(docs).select(*UNIT, F.col("text").cast("binary").alias("text"))
     if ids_repeat(docs):
-        texts = texts.dropDuplicates(unit)
-
-    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, grams, places = [], [], []
-            for row, text in enumerate(batch["text"]):
-                gram, place = anchors(word_hashes(split(text.as_py() or b"")), window)
-                place = place[np.flatnonzero(np.diff(place, prepend=-1))]
-                at.append(np.full(len(place), row))
-                grams.append(gram[place])
-                places.append(place)
-            if at:
-                rows = pa.array(np.concatenate(at))
-                arrays = [batch["unit_id"].take(rows), batch["text_hash"].take(rows)]
-                arrays += [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(places).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, [*unit, "gram", "at"])
-
-    found = texts.mapInArrow(anchored, "unit_id long, text_hash long, gram long, at int")
-    twice = found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    marked = found.join(twice, "gram").groupBy(*unit).agg(F.collect_list("at").alias("marks"))
-    held = scratch.keep(texts.join(marked, unit), "held")  # the documents that may lose words
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = texts.dropDuplicates(UNIT)
+    later, firsts = _settled(scratch, _repeated_spans(texts, window))
+    gone = later.select(*UNIT, F.struct("start", (F.col("start") + F.col("length") + window - 1).alias("stop")).alias("gone"))
+    for crowded in (False, True):
+        some = _later_windows(texts, firsts, window, crowded)
+        gone = gone.unionByName(some.select(*UNIT, F.struct("start", (F.col("start") + window).alias("stop")).alias("gone")))
+    lost = gone.groupBy(*UNIT).agg(F.collect_list("gone").alias("gone"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                hashes = word_hashes(split(batch["text"][row].as_py()))
-                _, place = anchors(hashes, window)
-                marks = np.zeros(len(hashes), bool)
-                marks[batch["marks"][row].values.to_numpy()] = True
-                starts = np.flatnonzero(marks[place])
-                same = pa.array(np.full(len(starts), row))
-                arrays = [pa.array(rolling(hashes, window, b)[starts].view(np.int64)) for b in BASES]
-                arrays += [batch["unit_id"].take(same), batch["text_hash"].take(same), pa.array(starts.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, ["h1", "h2", *unit, "start"])
-
-    seen = held.mapInArrow(windows, "h1 long, h2 long, unit_id long, text_hash long, start int")
-    place = F.struct(*unit, "start")
-    first = seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = seen.join(first, ["h1", "h2"]).where(place > F.col("first"))
-    starts = later.groupBy(*unit).agg(F.collect_list("start").alias("starts"))
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
             out = []
-            for row in pdf.itertuples():
-                words = split(row.text)
-                gone = covered(np.asarray(row.starts), window, len(words))
+            for row in range(batch.num_rows):
+                words = split(batch["text"][row].as_py())
+                spans = batch["gone"][row].values
+                gone = covered(spans.field("start").to_numpy(), spans.field("stop").to_numpy(), len(words))
                 edges = np.flatnonzero(np.diff(gone, prepend=False, append=False))
                 kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g)
-                spans = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
-                out.append((row.unit_id, row.text_hash, len(words), int(gone.sum()), spans, kept.decode()))
-            yield pd.DataFrame(out, columns=["unit_id", "text_hash", "n_words", "n_removed", "spans", "kept_text"])
+                ends = [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
+                out.append((len(words), int(gone.sum()), ends, kept.decode()))
+            arrays = [batch["unit_id"], batch["text_hash"], *map(pa.array, zip(*out, strict=True))] if out else []
+            if out:
+                yield pa.RecordBatch.from_arrays(arrays, [*UNIT, "n_words", "n_removed", "spans", "kept_text"])
 
-    return held.drop("marks").join(starts, unit).mapInPandas(
+    return texts.join(lost, UNIT).mapInArrow(
         cut,
         "unit_id long, text_hash long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string",
     )
