@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
-from neumata.plans import search_queries, token_queries
+from neumata.plans import corpus_queries, search_queries, token_queries
 from neumata.plans.base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "search_queries", "token_queries"]
+__all__ = ["QUERIES", "SQL", "corpus_queries", "search_queries", "token_queries"]
