@@ -26,20 +26,36 @@ def grams(songs: DataFrame, n: int, *columns: str) -> DataFrame:
     return songs.select("song_id", *columns, F.posexplode(melody.ngrams(F.col("digits"), n)).alias("pos", "gram"))
 
 
+def numbered_grams(songs: DataFrame, n: int, *columns: str) -> DataFrame:
+    """``grams`` with each window as a number, its decimal reading: exact for n of 18 at most, and cheap to group and join."""
+    if n > 18:
+        raise ValueError("a long holds 18 symbols")
+    return grams(songs, n, *columns).withColumn("gram", F.col("gram").cast("long"))
+
+
 def differing(window: Column, query: str | Column, n: int) -> Column:
     """Symbols in which two strings of n symbols differ; plain comparisons, so that they compile into one loop."""
     other = (lambda k: F.lit(query[k - 1])) if isinstance(query, str) else (lambda k: F.substring(query, k, 1))
     return sum(((F.substring(window, k, 1) != other(k)).cast("int") for k in range(1, n + 1)), F.lit(0))
 
 
+def best_of(rows: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` (keys, diff, pos) reduced to the least diff of each key and where it first occurs.
+
+    Both are packed into one number, which hash aggregation can update in place; a struct would be sorted.
+    """
+    packed = (F.col("diff").cast("long") * F.lit(1 << 32) + F.col("pos")).alias("b")
+    best = rows.select(*keys, packed).groupBy(*keys).agg(F.min("b").alias("b"))
+    return best.select(*keys, F.shiftright("b", 32).cast("int").alias("diff"), F.col("b").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
+
+
 def scan(songs: DataFrame, query: str, *columns: str) -> DataFrame:
     """(song_id, columns, diff, pos): the best window of each song, the first of equals; shorter songs are left out.
 
     Windows are reduced within their task before the one shuffle, of a row per song.
     """
     rows = grams(songs, len(query), *columns).select("song_id", *columns, differing(F.col("gram"), query, len(query)).alias("diff"), "pos")
-    best = rows.groupBy("song_id", *columns).agg(F.min(F.struct("diff", "pos")).alias("b"))
-    return best.select("song_id", *columns, "b.diff", "b.pos")
+    return best_of(rows, "song_id", *columns)
 
 
 def exact_hits(songs: DataFrame, queries: DataFrame, n: int) -> DataFrame:
@@ -64,8 +80,7 @@ def seed_search(songs: DataFrame, queries: DataFrame, n: int, errors: int) -> Da
     index = grams(songs, n).select("song_id", "pos", "gram", filed("gram").alias("seed")).select("song_id", "pos", "gram", "seed.*")
     met = index.join(few(seeds), ["k", "block"])
     near = met.select("query_id", "song_id", differing(F.col("gram"), F.col("q"), n).alias("diff"), "pos").where(F.col("diff") <= errors)
-    best = near.groupBy("query_id", "song_id").agg(F.min(F.struct("diff", "pos")).alias("b"))
-    return best.select("query_id", "song_id", "b.diff", "b.pos")
+    return best_of(near, "query_id", "song_id")
 
 
 def annotate(songs: DataFrame) -> DataFrame:
@@ -96,9 +111,10 @@ def shared_runs(pairs: DataFrame, songs: DataFrame, n: int) -> DataFrame:
     Equal n-grams on one diagonal at neighbouring positions make a run, whose length
     is its number of grams plus n - 1.
     """
-    index = grams(songs, n)
-    left = pairs.join(index.select(F.col("song_id").alias("a"), F.col("pos").alias("pa"), "gram"), "a")
-    both = left.join(index.select(F.col("song_id").alias("b"), F.col("pos").alias("pb"), "gram"), ["b", "gram"])
+    side = lambda c, p: numbered_grams(
+        songs.join(pairs.select(F.col(c).alias("song_id")), "song_id", "left_semi"), n
+    ).select(F.col("song_id").alias(c), F.col("pos").alias(p), "gram")
+    both = pairs.join(side("a", "pa"), "a").join(side("b", "pb"), ["b", "gram"])
     diagonal = both.select("a", "b", (F.col("pa") - F.col("pb")).alias("d"), "pa")
     order = Window.partitionBy("a", "b", "d").orderBy("pa")
     runs = diagonal.withColumn("island", F.col("pa") - F.row_number().over(order)).groupBy("a", "b", "d", "island").agg(F.count("*").alias("n"))
@@ -110,7 +126,7 @@ def clone_links(songs: DataFrame, n: int, least: int) -> DataFrame:
 
     Links go to a gram's first holder alone, so they are as many as gram holdings, not pairs.
     """
-    held = grams(songs, n).select("song_id", "gram").distinct()
+    held = numbered_grams(songs, n).select("song_id", "gram").distinct()
     leaders = held.groupBy("gram").agg(F.min("song_id").alias("leader"), F.count("*").alias("df")).where("df > 1").drop("df")
     links = held.join(leaders, "gram").where("song_id <> leader").groupBy("song_id", "leader").agg(F.count("*").alias("shared"))
     return links.where(F.col("shared") >= least)

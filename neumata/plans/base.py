@@ -28,10 +28,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt out anew only if it has fewer partitions than the session has cores (one small file, say)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as songs: song_id, site, lang, title (the first word), digits."""
     text = F.coalesce("text", F.lit(""))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")).select(
         F.col("doc_id").alias("song_id"),
         F.coalesce("source", F.lit("")).alias("site"),
         F.coalesce("lang", F.lit("")).alias("lang"),

@@ -99,8 +99,8 @@ def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {SONGS_SQL}, {windows_sql(5)} SELECT w AS gram, count(DISTINCT song_id) AS df, count(*) AS tf FROM windows GROUP BY w")
 def ngram_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = search.grams(songs(spark, sf_dir), 5).groupBy("gram", "song_id").agg(F.count("*").alias("n"))
-    return held.groupBy("gram").agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
+    held = search.numbered_grams(songs(spark, sf_dir), 5).groupBy("gram", "song_id").agg(F.count("*").alias("n"))
+    return held.groupBy(F.col("gram").cast("string").alias("gram")).agg(F.count("*").alias("df"), F.sum("n").alias("tf"))
 
 
 @query("SELECT * FROM (" + " UNION ALL ".join(f"""(WITH {SONGS_SQL}, {windows_sql(n)} SELECT {n} AS n, count(*) AS n_grams, count(*) FILTER (t > 1) AS ambiguous
@@ -108,7 +108,8 @@ FROM (SELECT w, count(DISTINCT title) AS t FROM windows GROUP BY w))""" for n in
 def ngram_ambiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for n in (5, 7, 9):
-        titles = search.grams(songs(spark, sf_dir), n, "title").groupBy("gram").agg(F.min("title").alias("a"), F.max("title").alias("b"))
+        named = search.numbered_grams(songs(spark, sf_dir).select("song_id", "digits", F.xxhash64("title").alias("t")), n, "t")
+        titles = named.groupBy("gram").agg(F.min("t").alias("a"), F.max("t").alias("b"))  # numbers, which a hash aggregate updates in place
         row = titles.agg(F.lit(n).alias("n"), F.count("*").alias("n_grams"), F.count_if(F.col("a") != F.col("b")).alias("ambiguous"))
         out = row if out is None else out.unionByName(row)
     return out
@@ -118,7 +119,7 @@ def ngram_ambiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT title, w, count(*) AS versions FROM own GROUP BY 1, 2)
 SELECT o.title, o.song_id, count(*) AS n_windows, count(*) FILTER (versions = 1) AS n_unique FROM own o JOIN shared s ON o.title = s.title AND o.w = s.w GROUP BY 1, 2""")
 def version_unique_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = search.grams(songs(spark, sf_dir), 11, "title").select("title", "song_id", "gram").distinct()
+    own = search.numbered_grams(songs(spark, sf_dir), 11, "title").select("title", "song_id", "gram").distinct()
     versions = own.groupBy("title", "gram").agg(F.count("*").alias("versions"))
     return own.join(versions, ["title", "gram"]).groupBy("title", "song_id").agg(F.count("*").alias("n_windows"), F.count_if(F.col("versions") == 1).alias("n_unique"))
 
