@@ -14,8 +14,8 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,11 +145,13 @@ def packed(pieces: DataFrame, n_documents: int, capacity: int = CAPACITY, block:
         "block", F.pmod(F.xxhash64("doc_id", "piece", F.spark_partition_id()), F.lit(blocks)).cast("long")
     )
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=False, kind="stable")
-        bins, offsets = sum_of_squares(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=(int(pdf["block"].iloc[0]) << 32) + bins, offset=offsets)[out.fieldNames()]
+    def run(group: pa.Table) -> pa.Table:
+        # ids stay Arrow columns: only the lengths become an array, so a block is held about once
+        order = pc.sort_indices(group.select(["length", "doc_id", "piece"]), [(c, "descending") for c in ("length", "doc_id", "piece")]).to_numpy()
+        bins, offsets = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        bins[order], offsets[order] = sum_of_squares(group["length"].to_numpy()[order], capacity)
+        first = group["block"][0].as_py() << 32
+        return group.select(names).append_column("sequence_id", pa.array(bins + first)).append_column("offset", pa.array(offsets))
 
-    out = spark.createDataFrame([], full.schema).schema
-    done = part.groupBy("block").applyInPandas(run, out)
+    done = part.groupBy("block").applyInArrow(run, full.schema)
     return full.unionByName(done)
