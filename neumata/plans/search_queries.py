@@ -189,3 +189,18 @@ def retrieval_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     firsts = by_diff.groupBy("query_id").agg(F.min_by("n", "diff").alias("ties"))
     found = firsts.agg(F.count("*").alias("hit1"), F.count_if(F.col("ties") <= 3).alias("pessimistic3"), F.sum("ties").alias("tied"))
     return queries.agg(F.count("*").alias("queries")).crossJoin(found)  # one row and one row
+
+
+@query(f"""WITH {SONGS_SQL}, shifted AS (SELECT song_id, title, array_to_string(list_transform(range(1, length(digits)),
+    lambda i: (CAST(digits[i + 1] AS INT) - CAST(digits[i] AS INT) + 7) % 7), '') AS digits FROM songs
+), {windows_sql(14, "shifted")}, held AS (SELECT DISTINCT song_id, w FROM windows), led AS (
+    SELECT song_id, min(song_id) OVER (PARTITION BY w) AS leader FROM held
+), pairs AS (SELECT song_id AS a, leader AS b FROM led WHERE song_id <> leader GROUP BY 1, 2 HAVING count(*) >= 12
+), met AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM pairs JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
+), runs AS (SELECT a, b, d, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met)
+SELECT a, b, max(n) + 14 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2""")
+def modal_shift_lcs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest common substrings up to a modal shift: a shift leaves the contour, so runs of contours are one note longer."""
+    shifted = songs(spark, sf_dir).select("song_id", melody.contour(F.col("digits")).alias("digits"))
+    pairs = search.clone_links(shifted, 14, 12).select(F.col("song_id").alias("a"), F.col("leader").alias("b"))
+    return search.shared_runs(pairs, shifted, 14).withColumn("lcs", F.col("lcs") + 1)
