@@ -191,7 +191,7 @@ def retrieval_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return queries.agg(F.count("*").alias("queries")).crossJoin(found)  # one row and one row
 
 
-@query(f"""WITH {SONGS_SQL}, shifted AS (SELECT song_id, title, array_to_string(list_transform(range(1, length(digits)),
+@query(f"""WITH {SONGS_SQL}, shifted AS MATERIALIZED (SELECT song_id, title, array_to_string(list_transform(range(1, length(digits)),
     lambda i: (CAST(digits[i + 1] AS INT) - CAST(digits[i] AS INT) + 7) % 7), '') AS digits FROM songs
 ), {windows_sql(14, "shifted")}, held AS (SELECT DISTINCT song_id, w FROM windows), led AS (
     SELECT song_id, min(song_id) OVER (PARTITION BY w) AS leader FROM held
