@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neumata.llm.components import components
@@ -53,16 +53,18 @@ def fingerprint(text: bytes) -> int:
     return int((np.uint64(1) << np.arange(BITS, dtype=np.uint64))[2 * ones > len(hashes)].sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) per row, fp as a signed long; null and empty texts have 0."""
+def fingerprints(docs: DataFrame, **keys: Column) -> DataFrame:
+    """(doc_id, keys, fp) per row, fp as a signed long; null and empty texts have 0. ``keys`` are strings."""
+    names = ["doc_id", *keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py() or b"") for t in batch["text"]), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch[n] for n in names), pa.array(fps.view(np.int64))], [*names, "fp"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    kept = [c.alias(name) for name, c in keys.items()]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *kept, F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, ", ".join(["doc_id long", *(f"{k} string" for k in keys), "fp long"]))
 
 
 def grouped_bits(sample: np.ndarray, parts: int) -> list[list[int]]:
@@ -170,6 +172,12 @@ def near_edges(spark: SparkSession, classes: DataFrame, tau: int = TAU) -> DataF
     return few.select("fps").mapInPandas(verify, "a long, b long").unionByName(starred.select("a", "b"))
 
 
+def with_components(spark: SparkSession, classes: DataFrame) -> DataFrame:
+    """``classes`` (fp: distinct, and more columns) with component, the smallest fingerprint reachable over links of at most TAU bits."""
+    linked = components(spark, near_edges(spark, classes.select("fp"))).withColumnRenamed("node", "fp")
+    return classes.join(linked, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row: doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of at most TAU bits.
 
@@ -180,15 +188,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "documents")
     prints = scratch.keep(fingerprints(docs), "prints")
     classes = scratch.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    linked = components(spark, near_edges(spark, classes.select("fp"))).withColumnRenamed("node", "fp")
-    joined = classes.join(linked, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
+    joined = with_components(spark, classes)
     names = joined.groupBy("component").agg(F.min("first").alias("component_id"))
     named = joined.join(names, "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A digest of the text's bytes and one of the other values: equal for equal rows alone."""
+    rest = F.to_json(F.struct(F.lit(0).alias("_"), *(c for c in docs.columns if c != "text")), {"ignoreNullFields": "false"})
+    return F.concat_ws(":", F.coalesce(F.sha2(F.col("text").cast("binary"), 256), F.lit("null")), F.sha2(rest, 256))
+
+
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` of each component: that of its smallest doc_id; of rows that repeat this id, one stays."""
-    near = near_duplicates(spark, docs)
-    first = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("kept_id"))).drop("kept_id").dropDuplicates(["doc_id"])
+    """One row of ``docs`` of each component: the first by doc_id (null last), text digest and digest of the other values.
+
+    Components are told apart by fingerprint, so rows without an id, or with an id that
+    other texts have too, stand for their own component alone.
+    """
+    scratch = Scratch(spark, "kept")
+    prints = scratch.keep(fingerprints(docs, row_key=row_key(docs)), "prints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_key")).alias("first")
+    classes = scratch.keep(prints.groupBy("fp").agg(first), "classes")
+    chosen = with_components(spark, classes).groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))
+    keyed = docs.select(row_key(docs).alias("row_key"), F.struct(*docs.columns).alias("row"))
+    return keyed.join(chosen, "row_key").dropDuplicates(["row_key"]).select("row.*")

@@ -266,6 +266,17 @@ def test_simhash(spark, docs):
     assert sorted(r.doc_id for r in simhash.keep_one(spark, docs).collect()) == sorted({*label.values()})
 
 
+def test_keep_one_row_of_each_component(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "x"), (1, c, "y"), (2, c, "y"), (2, d, "y"), (2, d, "z"), (None, d, "a"), (None, None, None)]
+    results = []
+    for seed in range(2):
+        shuffled = random.Random(seed).sample(rows, len(rows))
+        results.append(simhash.keep_one(spark, spark.createDataFrame(shuffled, "doc_id long, text string, source string").repartition(3)).collect())
+        assert sorted((r[:2] for r in results[-1]), key=repr) == sorted([(None, a), (None, b), (1, c), (2, d), (None, None)], key=repr)
+    assert set(results[0]) == set(results[1])
+
+
 @pytest.mark.parametrize("bucket", [256, 4])
 def test_fingerprint_links(spark, monkeypatch, bucket):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
