@@ -1,10 +1,11 @@
 """Secret scans in built-in column functions only.
 
 Three base patterns find assignments, access keys and long hex strings. Besides, every
-candidate string (a run of hex or base64 characters) is searched by a sliding window:
+maximal run of hex characters and of base64 characters is searched by a sliding window:
 the Shannon entropy of WINDOW characters is kept up to date by the counts of the one
-character that enters and the one that leaves. A candidate whose best window is over
-its character class's threshold is a span of its own, unless the allow-list knows it.
+character that enters and the one that leaves. Placeholders and separate plain words are
+taken out of a run first; a run whose best window of what is left is over its character
+class's threshold is a span of its own, unless the run as a whole is allowed.
 """
 
 from __future__ import annotations
@@ -29,13 +30,22 @@ QUICK = {
     "access": r"AKIA[A-Z0-9]{16}",
     "hex": r"[0-9a-f]{24}",
 }
-#: Character classes of candidates, the finest first: kind -> (whole candidate, least entropy in bits a character).
-CLASSES = {"entropy_hex": (r"^[0-9A-Fa-f]+$", 3.0), "entropy_base64": (r"^[0-9A-Za-z+/_=-]+$", 3.7)}
-CANDIDATE = rf"[0-9A-Za-z+/_=-]{{{WINDOW},}}"
-#: Candidates that are no secrets: placeholders, counting and keyboard runs, hyphenated uuids, joined plain words.
+#: Character classes of candidates: kind -> (maximal run, least entropy in bits a character). '=' is padding, at the end alone.
+CLASSES = {
+    "entropy_hex": (rf"[0-9A-Fa-f]{{{WINDOW},}}", 3.0),
+    "entropy_base64": (rf"[0-9A-Za-z+/_-]{{{WINDOW},}}={{0,2}}", 3.7),
+}
+#: A word in lower or title case, shorter than a window, and the digits that may end it.
+PLAIN = rf"[A-Z]?[a-z]{{1,{WINDOW - 2}}}"
+#: Whole runs that are no secrets: hyphenated uuids, joined plain words, numbers.
 ALLOWED = (
-    r"(?i)example|sample|placeholder|changeme|dummy|redacted|0123456789|1234567890|abcdefgh|qwerty"
-    r"|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[A-Za-z]+(?:[-_/][A-Za-z]+)*[0-9]{0,4}$|^[0-9+/_=-]+$"
+    r"^(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
+    rf"|^{PLAIN}(?:[-_/]{PLAIN})*[0-9]{{0,4}}$|^[0-9+/_=-]+$"
+)
+#: Parts of a run that say nothing for or against what stands beside them: placeholders, counting and keyboard runs, separate plain words.
+BESIDE = (
+    "(?i:example|sample|placeholder|changeme|dummy|redacted|0123456789|1234567890|abcdefgh|qwerty)"
+    rf"|(?<![0-9A-Za-z])[A-Z]?[a-z]{{3,{WINDOW - 2}}}[0-9]{{0,4}}(?![0-9A-Za-z])"
 )
 KINDS = (*BASE, *CLASSES)
 SPAN = "struct<start:int,rank:int,end:int,secret_start:int>"
@@ -122,15 +132,16 @@ def find_spans(text: Column) -> Column:
         spans = F.transform(kept, lambda m: _span(m, F.lit(rank)))  # noqa: B023
         found.append(F.when(text.rlike(QUICK[kind]), spans).otherwise(none))
 
-    def classed(m: Column) -> Column:
-        cls = F.lit(None).cast("int")
-        for rank, (kind, (whole, least)) in reversed(list(enumerate(CLASSES.items(), len(BASE)))):
-            cls = F.when(m["secret"].rlike(whole), F.when(entropy_peak(m["secret"]) >= least, F.lit(rank))).otherwise(cls)
-        return _span(m, cls)
-
-    candidates = F.filter(_matches(text, CANDIDATE, 0), lambda m: ~m["secret"].rlike(ALLOWED))
-    peaks = F.filter(F.transform(candidates, classed), lambda s: s["rank"].isNotNull())
-    found.append(F.when(text.rlike(CANDIDATE), peaks).otherwise(none))
+    for rank, (kind, (pattern, least)) in enumerate(CLASSES.items(), len(BASE)):
+        hex_pattern = CLASSES["entropy_hex"][0]
+        beside = BESIDE if kind == "entropy_hex" else f"{hex_pattern}|{BESIDE}"  # hex runs are judged as such
+        judged = lambda m: let(
+            F.regexp_replace(m["secret"], beside, ""),  # noqa: B023
+            lambda rest: F.when(F.length(rest) >= WINDOW, entropy_peak(rest) >= least).otherwise(False),  # noqa: B023
+        )
+        runs = F.filter(_matches(text, pattern, 0), lambda m: ~m["secret"].rlike(ALLOWED))
+        spans = F.transform(F.filter(runs, judged), lambda m: _span(m, F.lit(rank)))  # noqa: B023
+        found.append(F.when(text.rlike(pattern), spans).otherwise(none))
     return F.array_sort(F.concat(*found))
 
 

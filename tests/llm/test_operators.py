@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -238,6 +239,21 @@ def test_permutation(n):
     assert (sharding.permute(sharding.permute(np.arange(n), n, 9), n, 9, back=True) == np.arange(n)).all()
 
 
+def test_secrets_beside_words_and_signs(spark):
+    rng = random.Random(3)
+    key = lambda symbols, n: "".join(rng.choices(symbols, k=n))
+    b64, letters, upper_hex = string.ascii_letters + string.digits, string.ascii_letters, "0123456789ABCDEF"
+    found = [before + key(upper_hex, 32) for before in ("AUTH=", "key-", "id_") for _ in range(20)]
+    found += [before + key(b64, 24) for before in ("/v1/sample/", "example_", "a=b=", "Some-Plain-Word/") for _ in range(5)]
+    found += [key(letters, n) for n in (24, 32, 40) for _ in range(5)] + [key(b64, 22) + "=="]
+    clean = ["123e4567-e89b-42d3-a456-426614174000", "getting-started/with-the-quick-brown-Fox_guide12", "placeholder-changeme-example", "=" * 40, "qwerty" * 5, "/usr/share/dictionary/english/wordlist"]
+    texts = [f"see {x} there" for x in found + clean]
+    rows = secrets.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    missed = [t for t, r in zip(texts, rows, strict=True) if r.text == t]
+    assert missed == texts[len(found) :]
+    assert not any(x[-20:] in r.text for x, r in zip(found, rows, strict=False))
+
+
 def plain_fingerprint(text):
     words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
