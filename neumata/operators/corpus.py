@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from neumata.shared import shared_folder
+
 
 def keep_one(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key by ``order``; a maximum that combines before its shuffle, so no group is sorted in one place.
@@ -97,3 +101,29 @@ def rule_counts(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     counts = rows.agg(F.count("*").alias("n"), *(F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"r{k}") for k, ok in enumerate(rules.values())))
     each = F.explode(F.array(*(F.struct(F.lit(name).alias("rule"), F.col(f"r{k}").alias("broken")) for k, name in enumerate(rules))))
     return counts.select(each.alias("x"), "n").select("x.*", "n")
+
+
+def closure(spark: SparkSession, edges: DataFrame, most: int = 100) -> DataFrame:
+    """(ancestor, child, depth): every path of ``edges`` (parent, child), of any number of rows.
+
+    One join a level; levels are written to the shared folder. Edges that go deeper than
+    ``most`` levels, as those of a cycle do, are an error.
+    """
+    top = f"{shared_folder(spark)}/closure-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{top}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{top}/{name}")
+
+    edges = keep(edges.select("parent", "child").where("parent IS NOT NULL AND child IS NOT NULL"), "edges")
+    level = edges.select(F.col("parent").alias("ancestor"), "child", F.lit(1).alias("depth"))
+    out, depth = level, 1
+    steps = edges.select(F.col("parent").alias("child"), F.col("child").alias("next"))
+    while True:
+        level = level.join(steps, "child").select("ancestor", F.col("next").alias("child"), F.lit(depth + 1).alias("depth"))
+        level = keep(level, str(depth + 1))
+        if level.isEmpty():
+            return out
+        if depth == most:
+            raise ValueError(f"edges go deeper than {most} levels")
+        out, depth = out.unionByName(level), depth + 1

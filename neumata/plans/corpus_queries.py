@@ -182,13 +182,7 @@ def tag_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = nation.select(tag("r", "n_regionkey").alias("parent"), tag("n", "n_nationkey").alias("child")).unionByName(
         customer.select(tag("n", "c_nationkey").alias("parent"), tag("c", "c_custkey").alias("child"))
     )
-    closed = spark.sql(
-        """WITH RECURSIVE closure AS (SELECT parent AS ancestor, child, 1 AS depth FROM {edges}
-        UNION ALL SELECT c.ancestor, e.child, depth + 1 FROM closure c JOIN {edges} e ON c.child = e.parent)
-        SELECT ancestor, count(*) AS descendants, CAST(max(depth) AS INT) AS depth FROM closure GROUP BY ancestor""",
-        edges=edges,
-    )
-    return closed
+    return corpus.closure(spark, edges).groupBy("ancestor").agg(F.count("*").alias("descendants"), F.max("depth").alias("depth"))
 
 
 @query("""WITH found AS (SELECT o_custkey AS c_custkey, min(o_orderpriority) AS c_mktsegment FROM orders GROUP BY 1)

@@ -27,3 +27,11 @@ def test_entry_is_ranked(spark):
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_tag_closure_has_no_row_limit(spark):
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "100")
+    try:
+        assert mismatch(spark, "tag_closure", SMALL, entry) == ""
+    finally:
+        spark.conf.unset("spark.sql.cteRecursionRowLimit")
