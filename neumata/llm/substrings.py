@@ -11,8 +11,9 @@ loses no repeat: a window's first place lies in its span's first place. What is
 be removed goes back to its document and merges into maximal intervals.
 
 Anchors of at most CROWD places are compared within their own group, which bounds
-it. Larger ones are dealt over salts first, and the few firsts of each salt are then
-aggregated, so a passage of any number of documents is gathered nowhere.
+it. The places of larger ones are dealt over salts before they are shuffled at all, and
+the few firsts of each salt are then aggregated, so a passage of any number of
+documents is gathered nowhere.
 """
 
 from __future__ import annotations
@@ -21,13 +22,12 @@ from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from neumata.llm.shared import BLANKS, Scratch, word_count
+from neumata.llm.shared import BLANKS, Scratch, is_small, word_count
 
 WINDOW, GRAM = 20, 8
 #: Odd multipliers of the polynomial hashes.
@@ -35,6 +35,8 @@ BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 NO_ID = -(1 << 63)
 #: Places of one anchor that are compared in one group.
 CROWD = 4096
+#: Crowded anchors up to which their table is broadcast; a larger one is joined, with its hot keys split by adaptive execution.
+SMALL_CROWDS = 200_000
 
 
 def split(text: bytes) -> list[bytes]:
@@ -105,8 +107,20 @@ UNIT = ["unit_id", "text_hash"]
 PLACE = [*UNIT, "start"]
 
 
-def _repeated_spans(texts: DataFrame, window: int) -> DataFrame:
-    """(unit_id, text_hash, start, length, gram, span, n) of every span whose anchor occurs n > 1 times."""
+def _salts() -> Column:
+    """Over how many salts the places of an anchor with n of them are dealt."""
+    return F.ceil(F.col("n") / CROWD).cast("int")
+
+
+def _salt(salts: Column) -> Column:
+    return F.when(salts > 1, F.pmod(F.xxhash64(*PLACE), salts)).otherwise(0).cast("int")
+
+
+def _repeated_spans(scratch: Scratch, texts: DataFrame, window: int) -> DataFrame:
+    """(gram, salt, unit_id, text_hash, start, length, span, n) of every span whose anchor occurs n > 1 times.
+
+    Rows come dealt by (gram, salt), so that no anchor, however frequent, fills a task.
+    """
 
     def rows(grams_only: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,22 +148,20 @@ def _repeated_spans(texts: DataFrame, window: int) -> DataFrame:
         return run
 
     grams = texts.select("text").mapInArrow(rows(True), "gram long")
-    twice = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    twice = scratch.keep(grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "grams")
+    crowds = twice.where(F.col("n") > CROWD).select("gram", _salts().alias("salts"))
+    crowds = F.broadcast(crowds) if is_small(crowds, SMALL_CROWDS) else crowds
     found = texts.mapInArrow(rows(False), "gram long, span long, start int, length int, unit_id long, text_hash long")
-    return found.join(twice, "gram")
+    dealt = found.join(crowds, "gram", "left").withColumn("salt", _salt(F.coalesce("salts", F.lit(1)))).drop("salts")
+    return dealt.join(twice.withColumn("salt", F.explode(F.sequence(F.lit(0), _salts() - 1))), ["gram", "salt"])
 
 
 def _settled(scratch: Scratch, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of repeated spans: the later ones, and the firsts of those whose anchor has other spans too."""
+    """Of repeated spans: the later ones, and the firsts of those whose anchor has other spans too, with n."""
     crowd = F.col("n") > CROWD
-    salt = F.when(crowd, F.pmod(F.xxhash64(*UNIT), F.ceil(F.col("n") / CROWD))).otherwise(0)
     group = Window.partitionBy("gram", "salt")
     order = Window.partitionBy("gram", "salt", "span", "length").orderBy(*PLACE)
-    flagged = (
-        spans.withColumn("salt", salt)
-        .withColumn("apart", crowd | (F.min("span").over(group) != F.max("span").over(group)))
-        .withColumn("first", F.row_number().over(order) == 1)
-    )
+    flagged = spans.withColumn("apart", crowd | (F.min("span").over(group) != F.max("span").over(group))).withColumn("first", F.row_number().over(order) == 1)
     open_ = F.col("first") & crowd
     kept = scratch.keep(
         flagged.where(~F.col("first") | F.col("apart")).select(
@@ -165,33 +177,38 @@ def _settled(scratch: Scratch, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every.where("not first"), every.where("first")
 
 
-def _later_windows(texts: DataFrame, spans: DataFrame, window: int, crowded: bool) -> DataFrame:
-    """Places of the windows in ``spans`` that also start earlier in one of them."""
-    chosen = spans.where((F.col("n") > CROWD) == F.lit(crowded))
-    marked = texts.join(chosen.groupBy(*UNIT).agg(F.collect_list(F.struct("start", "length")).alias("marks")), UNIT)
+def _later_windows(texts: DataFrame, spans: DataFrame, window: int) -> DataFrame:
+    """Places of the windows in ``spans`` that also start earlier in one of them.
+
+    Equal windows have equal anchors, so they are as few as these, or dealt over as many salts.
+    """
+    marks = spans.groupBy(*UNIT).agg(F.collect_list(F.struct("start", "length", _salts().alias("salts"))).alias("marks"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 hashes = word_hashes(split(batch["text"][row].as_py()))
                 marks = batch["marks"][row].values
-                first, length = marks.field("start").to_numpy().astype(np.int64), marks.field("length").to_numpy()
+                first, length, salts = (marks.field(c).to_numpy().astype(np.int64) for c in ("start", "length", "salts"))
                 starts = np.repeat(first - np.cumsum(length) + length, length) + np.arange(length.sum())
                 same = pa.array(np.full(len(starts), row))
                 arrays = [pa.array(runs(hashes, starts, starts + window, b).view(np.int64)) for b in BASES]
-                arrays += [batch["unit_id"].take(same), batch["text_hash"].take(same), pa.array(starts.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(arrays, ["h1", "h2", *PLACE])
-
-    seen = marked.mapInArrow(windows, "h1 long, h2 long, unit_id long, text_hash long, start int")
-    if not crowded:
-        order = Window.partitionBy("h1", "h2").orderBy(*PLACE)  # CROWD rows at most
-        return seen.withColumn("at", F.row_number().over(order)).where("at > 1").select(*PLACE)
-    place = F.struct(*PLACE)
-    first = seen.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return seen.join(first, ["h1", "h2"]).where(place > F.col("first")).select(*PLACE)
-
-
-def removals(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
+                arrays += [batch["unit_id"].take(same), batch["text_hash"].take(same), pa.array(starts.astype(np.int32)), pa.array(np.repeat(salts, length).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(arrays, ["h1", "h2", *PLACE, "salts"])
+
+    seen = texts.join(marks, UNIT).mapInArrow(windows, "h1 long, h2 long, unit_id long, text_hash long, start int, salts int")
+    seen = seen.withColumn("salt", _salt(F.col("salts")))
+    order = Window.partitionBy("h1", "h2", "salt").orderBy(*PLACE)
+    first = F.row_number().over(order) == 1
+    open_ = first & (F.col("salts") > 1)
+    # not written: the dealt texts and windows are then reused within one job, also by the cut of the texts
+    kept = seen.withColumns({"first": first, "open": open_}).where("NOT first OR open").select(*PLACE, "open", "h1", "h2")
+    salted, place = kept.where("open"), F.struct(*PLACE)
+    earliest = salted.groupBy("h1", "h2").agg(F.min(place).alias("earliest"))
+    return kept.where("NOT open").select(*PLACE).unionByName(salted.join(earliest, ["h1", "h2"]).where(place > F.col("earliest")).select(*PLACE))
+
+
+def removals(spark: SparkSession, docs: DataFrame, window: int = WINDOW, repeat: bool | None = None) -> DataFrame:
     """Rows of ``docs`` that lose words: unit_id, text_hash, n_words, n_removed, spans, kept_text.
 
     spans are the removed word intervals, maximal and in order, ends exclusive;
@@ -200,16 +217,17 @@ def removals(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> Data
     that repeat a doc_id and its text are one document; rows that repeat a doc_id
     with other texts are documents of their own, ordered by a hash of the text.
     Null, empty and shorter texts lose nothing; an empty table gives an empty result.
+    repeat says whether ids do; it is looked up if not given.
     """
     scratch = Scratch(spark, "substrings")
-    texts = keyed(docs).select(*UNIT, F.col("text").cast("binary").alias("text"))
-    if ids_repeat(docs):
+    repeat = ids_repeat(docs) if repeat is None else repeat
+    texts = keyed(docs, repeat).select(*UNIT, F.col("text").cast("binary").alias("text"))
+    if repeat:
         texts = texts.dropDuplicates(UNIT)
-    later, firsts = _settled(scratch, _repeated_spans(texts, window))
+    later, firsts = _settled(scratch, _repeated_spans(scratch, texts, window))
     gone = later.select(*UNIT, F.struct("start", (F.col("start") + F.col("length") + window - 1).alias("stop")).alias("gone"))
-    for crowded in (False, True):
-        some = _later_windows(texts, firsts, window, crowded)
-        gone = gone.unionByName(some.select(*UNIT, F.struct("start", (F.col("start") + window).alias("stop")).alias("gone")))
+    some = _later_windows(texts, firsts, window)
+    gone = gone.unionByName(some.select(*UNIT, F.struct("start", (F.col("start") + window).alias("stop")).alias("gone")))
     lost = gone.groupBy(*UNIT).agg(F.collect_list("gone").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,21 +256,26 @@ def ids_repeat(docs: DataFrame) -> bool:
     return bool(ids.groupBy("unit_id").count().where("count > 1").limit(1).count())
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, repeat: bool) -> DataFrame:
     """``docs`` with unit_id and text_hash; the hash is only taken where ids repeat."""
     return docs.withColumns(
         {
             "unit_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-            "text_hash": F.xxhash64("text") if ids_repeat(docs) else F.lit(0).cast("long"),
+            "text_hash": F.xxhash64("text") if repeat else F.lit(0).cast("long"),
         }
     )
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_words, n_removed and kept_sha256 of the words left, joined by one blank."""
+    """Per row of ``docs``: doc_id, n_words, n_removed and kept_sha256 of the words left, joined by one blank.
+
+    Null texts have no words. Repeated rows repeat, see ``removals``; texts of any length
+    are read whole; columns beyond doc_id and text are ignored.
+    """
+    repeat = ids_repeat(docs)
     whole = F.trim(F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), BLANKS, " "))
-    rows = keyed(docs).select("doc_id", "unit_id", "text_hash", F.sha2(whole, 256).alias("whole_sha256"), word_count(F.col("text")).alias("n_words"))
-    lost = removals(spark, docs, window).select("unit_id", "text_hash", "n_removed", F.sha2("kept_text", 256).alias("sha256"))
+    rows = keyed(docs, repeat).select("doc_id", "unit_id", "text_hash", F.sha2(whole, 256).alias("whole_sha256"), word_count(F.col("text")).alias("n_words"))
+    lost = removals(spark, docs, window, repeat).select("unit_id", "text_hash", "n_removed", F.sha2("kept_text", 256).alias("sha256"))
     return rows.join(lost, ["unit_id", "text_hash"], "left").select(
         "doc_id",
         "n_words",
