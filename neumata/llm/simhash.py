@@ -8,14 +8,16 @@ thresholds of least estimated work. A fingerprint is indexed under its own value
 each part and probes all values within t_i; those that meet are verified on all bits.
 
 Equal fingerprints are one class throughout. A value that more than BUCKET classes
-share is not compared pairwise: there each class is filed under itself and under its
-one-bit neighbours, and two are within two bits exactly if they share such a file,
-which holds 65 classes at most. Both ways only spanning edges are handed on.
+share is not compared pairwise: there each class owns the files of all fingerprints
+within tau // 2 bits of its own and visits those within the other half of tau, rounded
+up. Two classes are within tau bits exactly if one visits a file that the other owns.
+A file is as small as the number of fingerprints in its reach: 65 classes for two bits.
+Both ways only spanning edges are handed on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -104,11 +106,11 @@ def plan(sample: np.ndarray, n: int, tau: int = TAU) -> list[tuple[list[int], in
 
     Work is probes made plus partners met. A class's partners are estimated from those
     that it has in the sample, with one pair added in all so that no part is free; a
-    class in a crowd costs its BITS + 1 files, however large the crowd.
+    class in a crowd costs the files it is in, however large the crowd.
     """
     if len(sample) < 2:
         return [(part, 0) for part in grouped_bits(np.arange(4, dtype=np.uint64), tau + 1)]
-    scale = n / len(sample)
+    scale, files = n / len(sample), sum(comb(BITS, k) for k in range((tau + 1) // 2 + 1))
     options = []
     for parts in range(1, tau + 2):
         groups, cost = grouped_bits(sample, parts), []
@@ -119,7 +121,7 @@ def plan(sample: np.ndarray, n: int, tau: int = TAU) -> list[tuple[list[int], in
                 apart = np.bitwise_count((sample[at : at + 256, None] ^ sample[None, :]) & mask)
                 for t in range(tau + 1):
                     partners = ((apart <= t).sum(1) - 1) * scale * (1 + t) / 2
-                    met[t] += np.minimum(partners, BITS + 1).sum()
+                    met[t] += np.minimum(partners, files).sum()
             probes = np.cumsum([comb(len(part), t) for t in range(tau + 1)])
             cost.append([0.0, *(n * probes + scale * met)])
         options.append((*thresholds(cost, tau), groups))
@@ -140,6 +142,11 @@ def _spanning(fps: np.ndarray, tau: int) -> Iterator[tuple[int, int]]:
         yield int(fps[i].view(np.int64)), int(fps[label[i]].view(np.int64))
 
 
+def _flips(bits: Iterable[int], most: int) -> list[int]:
+    """Signed masks of all choices of up to ``most`` of the bits, small choices first."""
+    return [int(np.uint64(sum(1 << b for b in chosen)).view(np.int64)) for k in range(most + 1) for chosen in combinations(bits, k)]
+
+
 def near_edges(spark: SparkSession, classes: DataFrame, tau: int = TAU) -> DataFrame:
     """(a, b): edges that connect the fingerprints of ``classes`` (fp: distinct) as all links within tau bits do."""
     n = classes.count()
@@ -149,9 +156,8 @@ def near_edges(spark: SparkSession, classes: DataFrame, tau: int = TAU) -> DataF
     scratch = Scratch(spark, "simhash")
     filed = None
     for number, (part, t) in enumerate(plan(np.unique(sample), n, tau)):
-        signed = lambda bits: int(np.uint64(sum(1 << b for b in bits)).view(np.int64))
-        flips = [signed(c) for k in range(t + 1) for c in combinations(part, k)]
-        value = F.col("fp").bitwiseAND(F.lit(signed(part)))
+        flips = _flips(part, t)
+        value = F.col("fp").bitwiseAND(F.lit(int(np.uint64(sum(1 << b for b in part)).view(np.int64))))
         probes = F.explode(F.transform(F.array(*map(F.lit, flips)), lambda x: value.bitwiseXOR(x))) if t else value  # noqa: B023
         rows = classes.select(F.lit(number).alias("part"), probes.alias("value"), "fp")
         filed = rows if filed is None else filed.unionByName(rows)
@@ -164,11 +170,12 @@ def near_edges(spark: SparkSession, classes: DataFrame, tau: int = TAU) -> DataF
             yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     few = met.where(F.col("n") <= BUCKET).groupBy("part", "value").agg(F.collect_list("fp").alias("fps"))
-    flips = F.array(F.lit(0).cast("long"), *(F.lit(int(np.uint64(1 << b).view(np.int64))) for b in range(BITS)))
     crowded = met.where(F.col("n") > BUCKET).select("fp").distinct()
-    files = crowded.select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("file"))
-    shared = files.groupBy("file").agg(F.collect_list("fp").alias("fps")).where("size(fps) > 1")  # 65 at most
-    starred = shared.select(F.array_min("fps").alias("b"), F.explode("fps").alias("a")).where("a <> b")
+    reach = _flips(range(BITS), (tau + 1) // 2)
+    owned = len(_flips(range(BITS), tau // 2))  # the nearer ones come first
+    files = crowded.select("fp", F.posexplode(F.transform(F.array(*map(F.lit, reach)), lambda x: F.col("fp").bitwiseXOR(x))).alias("k", "file"))
+    shared = files.groupBy("file").agg(F.min(F.when(F.col("k") < owned, F.col("fp"))).alias("b"), F.collect_set("fp").alias("fps"))
+    starred = shared.where("b IS NOT NULL AND size(fps) > 1").select("b", F.explode("fps").alias("a")).where("a <> b")
     return few.select("fps").mapInPandas(verify, "a long, b long").unionByName(starred.select("a", "b"))
 
 
@@ -212,4 +219,5 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     classes = scratch.keep(prints.groupBy("fp").agg(first), "classes")
     chosen = with_components(spark, classes).groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))
     keyed = docs.select(row_key(docs).alias("row_key"), F.struct(*docs.columns).alias("row"))
-    return keyed.join(chosen, "row_key").dropDuplicates(["row_key"]).select("row.*")
+    # equal rows go first, within each task, and texts are dealt by row_key once for both steps
+    return keyed.dropDuplicates(["row_key"]).join(chosen.hint("shuffle_hash"), "row_key", "left_semi").select("row.*")
