@@ -1,6 +1,6 @@
 """Sharding by a Feistel permutation over global row numbers.
 
-Rows are numbered 0 to n - 1 in the order of a hash of their id. A keyed Feistel
+Rows are numbered 0 to n - 1 in the order of a hash of their values. A keyed Feistel
 network permutes that range: place = permute(number). Shard and slot are then
 arithmetic, place mod shards and place div shards, so counts differ by one at most,
 slots have no gaps, a new seed is a new shuffle, and ``row_of`` gives back the number
@@ -21,6 +21,8 @@ from neumata.llm.shared import Scratch
 ROUNDS = 4
 #: Hash ranges that rows are numbered in; the table of their counts is all that is summed in one place.
 RANGES = 4096
+#: Equal rows that are numbered as one item.
+CHUNK = 4096
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
@@ -65,28 +67,37 @@ def row_of(shard: np.ndarray, slot: np.ndarray, n: int, shards: int, seed: int =
     return permute(np.asarray(slot) * shards + np.asarray(shard), n, seed, back=True)
 
 
-def numbered(spark: SparkSession, rows: DataFrame, key: str) -> tuple[DataFrame, int]:
-    """``rows`` with ``number``, 0 to n - 1 in the order of (hash of key, key, other columns), and n.
+def numbered(spark: SparkSession, rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with ``number``, 0 to n - 1 in the order of (hash of the columns, columns), and n.
 
-    Numbers count within hash ranges and add the total of the ranges before. Equal
-    rows are interchangeable. Nulls in any column sort first.
+    Equal rows are interchangeable, so they are counted first and numbered as one item,
+    or as several of CHUNK rows each, and written out at the end. Numbers count within
+    hash ranges and add the total of the ranges before; the hash is of all columns and
+    the chunk, so neither one id nor one row that is often there fills a range. Nulls in
+    any column sort first.
     """
-    kept = Scratch(spark, "number").keep(rows.withColumn("hash", F.xxhash64(F.lit(7), key)), "rows")
+    names = rows.columns
+    items = rows.groupBy(*names).agg(F.count("*").alias("n_equal"))
+    items = items.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n_equal - 1) div {CHUNK}"))))
+    items = items.withColumn("n_equal", F.least(F.col("n_equal") - F.col("chunk") * CHUNK, F.lit(CHUNK))).withColumn("hash", F.xxhash64(F.lit(7), "chunk", *names))
+    kept = Scratch(spark, "number").keep(items, "items")
     ranged = kept.withColumn("range", F.shiftright(F.col("hash"), 52))
-    counts = ranged.groupBy("range").agg(F.count("*").alias("n"))  # RANGES rows at most
+    counts = ranged.groupBy("range").agg(F.sum("n_equal").alias("n"))  # RANGES rows at most
     n = counts.agg(F.sum("n")).first()[0] or 0
     before = counts.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
-    order = Window.partitionBy("range").orderBy("hash", *rows.columns)
-    out = ranged.withColumn("at", F.row_number().over(order)).join(F.broadcast(before), "range")
-    return out.select(*rows.columns, (F.col("before") + F.col("at") - 1).alias("number")), n
+    order = Window.partitionBy("range").orderBy("hash", "chunk", *names).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.withColumn("end", F.sum("n_equal").over(order)).join(F.broadcast(before), "range")
+    last = F.col("before") + F.col("end") - 1
+    return out.select(*names, F.explode(F.sequence(last - F.col("n_equal") + 1, last)).alias("number")), n
 
 
 def sharded(spark: SparkSession, docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     """Per row: doc_id, size, text_crc32, number, shard and slot.
 
     size is the text's UTF-8 bytes plus 1, and a null text has none. Counts of shards
-    differ by one at most. Rows repeat as they do in the input; an empty table gives
-    an empty result; columns beyond doc_id and text are ignored.
+    differ by one at most. Rows repeat as they do in the input, null and repeated ids
+    too; texts of any length count whole; an empty table gives an empty result; columns
+    beyond doc_id and text are ignored.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
@@ -94,7 +105,7 @@ def sharded(spark: SparkSession, docs: DataFrame, shards: int = 8, seed: int = 1
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    rows, n = numbered(spark, rows, "doc_id")
+    rows, n = numbered(spark, rows)
 
     @F.pandas_udf("long")
     def place(number: pd.Series) -> pd.Series:
