@@ -4,7 +4,7 @@ A document is described by statistics of its whole text, computed in column
 functions. Standardised, they go through random Fourier features, whose products
 approximate a Gaussian kernel. Each partition of the labelled rows sums its share of
 the normal equations, (D + 1) squared numbers whatever its rows; the shares are added
-by matrix row in Spark. One fold is kept back to fit the isotonic curve from raw to
+by matrix row in Spark, in two levels. One fold is kept back to fit the isotonic curve from raw to
 calibrated scores on a histogram of at most BINS bins.
 """
 
@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from neumata.llm.shared import Scratch, let, words_of
 
 FEATURES_D, RIDGE, BINS, SEED = 256, 1e-3, 2048, 11
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
+#: Groups of partitions whose sums are added before those of the groups are.
+GROUPS = 256
 #: Share of the raw score in the calibrated one; it orders documents on a level of the isotonic curve.
 ORDERING = 0.01
 CUT = 0.3
@@ -120,14 +123,15 @@ def fit(labelled: DataFrame) -> Model:
             if len(pdf):
                 z = model.features(np.stack(pdf["x"].to_numpy()))
                 total += z.T @ np.column_stack([z, pdf["y"].to_numpy()])
-        yield pd.DataFrame({"row": np.arange(len(total)), "sums": list(total)})
+        yield pd.DataFrame({"row": np.arange(len(total)), "some": TaskContext.get().partitionId() % GROUPS, "sums": list(total)})
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"row": pdf["row"].iloc[:1], "sums": [np.stack(pdf["sums"].to_numpy()).sum(0)]})
+        return pd.DataFrame({"row": pdf["row"].iloc[:1], "some": pdf["some"].iloc[:1], "sums": [np.stack(pdf["sums"].to_numpy()).sum(0)]})
 
     some = labelled.where(F.col("fold") != CALIBRATION)
-    shares = some.select("x", "y").mapInPandas(share, "row int, sums array<double>")
-    sums = shares.groupBy("row").applyInPandas(added, "row int, sums array<double>").collect()  # FEATURES_D + 1 rows
+    kinds = "row int, some int, sums array<double>"
+    shares = some.select("x", "y").mapInPandas(share, kinds).groupBy("row", "some").applyInPandas(added, kinds)  # GROUPS rows a matrix row
+    sums = shares.groupBy("row").applyInPandas(added, kinds).collect()  # FEATURES_D + 1 rows
     total = np.stack([r["sums"] for r in sorted(sums, key=lambda r: r["row"])])
     gram, target = total[:, :-1], total[:, -1]
     n = max(gram[-1, -1], 1.0)
@@ -152,8 +156,9 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str =
 
     Labels (doc_id, 0 or 1) are learnt only where the fold of doc_id is not HELD_OUT;
     null labels are ignored, and a document with several gets their mean. Scores
-    depend on the text alone. Empty and null texts are scored like any other;
-    repeated rows repeat; an empty table gives an empty result.
+    depend on the text alone, of whatever length. Empty and null texts are scored like
+    any other; repeated rows repeat and, if labelled, count as often; an empty table
+    gives an empty result; other columns are ignored.
     """
     scratch = Scratch(spark, "classifier")
     described = docs.select("doc_id", fold_of(F.col("doc_id")).cast("int").alias("fold"), statistics(F.col("text")).alias("x"))
