@@ -1,24 +1,28 @@
 """Quality rules as a short-circuit cascade, in built-in column functions only.
 
-Each rule has a measure and a predicate. On a bounded sample the cost of a rule
-(the work its measure does per document, in estimated microseconds) and its
-rejection rate are estimated; the rules then stand in one CASE expression in order of
-rejection per cost, so that a document stops at the first rule that rejects it and
-the dear rules see few documents. The order changes the work, never the verdict.
+Each rule is a predicate over measures of the text. On a bounded sample every rule is
+timed, and it is noted which rules reject which documents. The first rule is the one of
+most rejection per cost; each next one is the best for the documents that the rules
+before it leave over. They stand in one CASE expression in that order, so a document
+stops at the first rule that rejects it, measures no rule has asked for are not taken,
+and the dear rules see few documents. The order changes the work, never the verdict.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from neumata.llm.shared import let, words_of
+from neumata.llm.shared import Scratch, let, words_of
 
 GRAM = 5
 SAMPLE_ROWS = 4_000
+#: Seconds below which rules cost the same.
+LEAST_COST = 1e-3
 
 Measured = Callable[[str], Column]
 
@@ -68,32 +72,23 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: over the measures. per_char, per_word: estimated microseconds of its measures."""
+    """rejects: whether, over the measures of a text."""
 
     name: str
     rejects: Callable[[Measured], Column]
-    per_char: float
-    per_word: float
 
 
 RULES = (
-    Rule("few_words", lambda m: m("n_words") < 10, 0.0, 0.01),
-    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words")), 0.002, 0.02),
-    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words"), 0.01, 0.0),
-    Rule("marks", lambda m: 2 * m("n_marks") > m("n_words"), 0.01, 0.0),
-    Rule("dup_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines"), 0.01, 0.0),
-    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words"), 0.0, 0.5),
+    Rule("few_words", lambda m: m("n_words") < 10),
+    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words"))),
+    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
+    Rule("marks", lambda m: 2 * m("n_marks") > m("n_words")),
+    Rule("dup_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines")),
+    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words")),
 )
 BASE = ("few_words", "repeats")
 
 
-def measured(docs: DataFrame, names: tuple[str, ...] = tuple(MEASURES)) -> DataFrame:
-    """``docs`` with a struct column ``quality`` of the named measures; a null text is an empty one."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    fields = let(words_of(text), lambda words: F.struct(*(MEASURES[n](text, words).alias(n) for n in names)))
-    return docs.withColumn("quality", fields)
-
-
 def verdict(m: Measured, rules: tuple[Rule, ...]) -> Column:
     """The name of the first rule that rejects, in the given order; null where none does."""
     first = F.when(rules[0].rejects(m), F.lit(rules[0].name))
@@ -102,31 +97,49 @@ def verdict(m: Measured, rules: tuple[Rule, ...]) -> Column:
     return first
 
 
-def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> tuple[Rule, ...]:
-    """The rules by rejection per cost, as estimated on about ``sample_rows`` documents chosen by a hash of doc_id.
+def measured_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+    """The rules in order, each with its cost in seconds over the sample and the share of the documents that come to it it rejects.
 
-    An empty sample leaves the given order.
+    The sample is about ``sample_rows`` documents chosen by a hash of doc_id, twice as many
+    at most, written to the shared folder once. An empty sample leaves the given order.
     """
+    scratch = Scratch(docs.sparkSession, "rules")
     share = min(1.0, sample_rows / max(1, docs.count()))
-    sample = docs.select("doc_id", "text").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
-    seen = measured(sample).select("quality.*", F.length("text").alias("n_chars"))
-    m = F.col
-    stats = seen.agg(
-        F.avg("n_chars").alias("chars"),
-        F.avg("n_words").alias("words"),
-        *(F.avg(rule.rejects(m).cast("int")).alias(rule.name) for rule in rules),
-    ).first()
-    if stats["words"] is None:
-        return rules
-    cost = {r.name: r.per_char * (stats["chars"] or 0) + r.per_word * stats["words"] + 0.01 for r in rules}
-    return tuple(sorted(rules, key=lambda r: (-stats[r.name] / cost[r.name], cost[r.name])))
+    drawn = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    sample = scratch.keep(drawn.limit(2 * sample_rows), "sample")
+    of = lambda rule: let(words_of(F.col("text")), lambda words: rule.rejects(lambda name: MEASURES[name](F.col("text"), words)))
+    flags = sample.groupBy(*(of(rule).alias(rule.name) for rule in rules)).agg(F.count("*").alias("n")).collect()  # 2 ** rules rows at most
+
+    def seconds(column: Column) -> float:
+        began = time.perf_counter()
+        sample.agg(F.max(column)).collect()
+        return time.perf_counter() - began
+
+    reading = seconds(F.length("text"))
+    cost = {rule.name: max(seconds(of(rule)) - reading, LEAST_COST) for rule in rules}
+    scratch.drop()
+    order, left = [], [row.asDict() for row in flags]
+    rest = list(rules)
+    while rest:
+        seen = sum(row["n"] for row in left)
+        caught = {rule.name: sum(row["n"] for row in left if row[rule.name]) for rule in rest}
+        best = max(rest, key=lambda rule: (caught[rule.name] / cost[rule.name], -cost[rule.name])) if seen else rest[0]
+        order.append((best, cost[best.name], caught[best.name] / seen if seen else 0.0))
+        rest.remove(best)
+        left = [row for row in left if not row[best.name]]
+    return order
+
+
+def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
+    return tuple(rule for rule, _, _ in measured_cascade(docs, rules))
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with their columns as they are.
 
-    Null, empty and very short texts are rejected. Repeated rows are judged alike,
-    and all stay or go. The cascade is evaluated lazily within the filter.
+    Null, empty and very short texts are rejected; texts of any length are read whole.
+    Repeated rows are judged alike, and all stay or go. An empty table gives an empty
+    result. The cascade is evaluated lazily within the filter.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     order = cascade_order(docs, rules)
@@ -134,18 +147,32 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return docs.where(reason.isNull())
 
 
+#: The measures that ``judged`` gives of every document.
+GIVEN = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Per row: doc_id, the measures, base_failed and kept.
+    """Per row: doc_id, the GIVEN measures, base_failed, rejected_by (the first rule that does, null if none) and kept.
 
-    A null text counts as empty: all measures 0, base_failed true. An empty table
-    gives an empty result.
+    GIVEN measures are results, so they are taken of every row; the cascade asks for the
+    others only of documents that come as far. A null text counts as empty: all measures
+    0, base_failed true. Repeated rows repeat; an empty table gives an empty result.
     """
     order = cascade_order(docs, rules)
-    m = lambda name: F.col(f"quality.{name}")
+    text = F.coalesce(F.col("text"), F.lit(""))
     base = [r for r in rules if r.name in BASE]
-    failed = base[0].rejects(m)
-    for rule in base[1:]:
-        failed = failed | rule.rejects(m)
-    return measured(docs.select("doc_id", "text")).select(
-        "doc_id", "quality.*", failed.alias("base_failed"), verdict(m, order).isNull().alias("kept")
-    )
+
+    def of(words: Column) -> Column:
+        given = F.struct(*(MEASURES[n](text, words).alias(n) for n in GIVEN))
+
+        def result(q: Column) -> Column:
+            m = lambda name: q[name] if name in GIVEN else MEASURES[name](text, words)
+            failed = base[0].rejects(m)
+            for rule in base[1:]:
+                failed = failed | rule.rejects(m)
+            return F.struct(*(q[n].alias(n) for n in GIVEN), failed.alias("base_failed"), verdict(m, order).alias("rejected_by"))
+
+        return let(given, result)
+
+    rows = docs.select("doc_id", let(words_of(text), of).alias("quality"))
+    return rows.select("doc_id", "quality.*").withColumn("kept", F.col("rejected_by").isNull())
