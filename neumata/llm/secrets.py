@@ -10,6 +10,7 @@ class's threshold is a span of its own, unless the run as a whole is allowed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import log2
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 from neumata.llm.shared import let
 
 WINDOW = 20
+#: Windows of a run that are searched in one go, and spans of a text that are placed in one go.
+SEGMENT, CHUNK = 1024, 64
 #: kind -> (pattern, group that holds the secret, its least length in that group). Fixed by contract.
 BASE = {
     "assign": (r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -55,45 +58,51 @@ def entropy_peak(text: Column) -> Column:
     """The highest entropy, in bits, of any WINDOW consecutive characters; text has at least WINDOW.
 
     total is the sum of c * log2(c) over the counts c of the window; its entropy is
-    log2(WINDOW) - total / WINDOW. A step changes at most two counts.
+    log2(WINDOW) - total / WINDOW. A step changes the counts of two characters at most,
+    and only these are taken. Long texts are searched in segments that share a window.
     """
     table = F.array(*(F.lit(c * log2(c) if c else 0.0) for c in range(WINDOW + 2)))
     weight = lambda c: F.get(table, c)
+    count = lambda window, c: F.length(window) - F.length(F.replace(window, c, F.lit("")))
 
     def scan(x: Column) -> Column:
-        chars, symbols = x["chars"], x["symbols"]
-
         def step(s: Column, i: Column) -> Column:
-            come = F.array_position(symbols, F.get(chars, i)).cast("int") - 1
-            go = F.when(i >= WINDOW, F.array_position(symbols, F.get(chars, F.greatest(i - WINDOW, F.lit(0)))).cast("int") - 1).otherwise(-1)
-            up, down = F.get(s["counts"], come), F.get(s["counts"], F.greatest(go, F.lit(0)))
-            same = come == go
-            total = F.when(same, s["total"]).otherwise(
-                s["total"] + weight(up + 1) - weight(up) + F.when(go >= 0, weight(down - 1) - weight(down)).otherwise(0.0)
-            )
-            counts = F.when(same, s["counts"]).otherwise(
-                F.transform(s["counts"], lambda c, k: c + (k == come).cast("int") - (k == go).cast("int"))
-            )
-            return let(
-                total,
-                lambda t: F.struct(
-                    counts.alias("counts"),
-                    t.alias("total"),
-                    F.when(i >= WINDOW - 1, F.least(s["least"], t)).otherwise(s["least"]).alias("least"),
-                ),
+            now = F.struct(
+                F.substring(x, F.greatest(i - WINDOW, F.lit(0)) + 1, F.least(i, F.lit(WINDOW))).alias("window"),
+                F.substring(x, i + 1, F.lit(1)).alias("come"),
+                F.when(i >= WINDOW, F.substring(x, i - WINDOW + 1, F.lit(1))).alias("go"),
             )
 
-        start = F.struct(
-            F.transform(symbols, lambda c: F.lit(0)).alias("counts"), F.lit(0.0).alias("total"), F.lit(1e9).alias("least")
-        )
-        return F.aggregate(F.sequence(F.lit(0), F.size(chars) - 1), start, step, lambda s: F.lit(log2(WINDOW)) - s["least"] / WINDOW)
+            def moved(n: Column) -> Column:
+                come = let(count(n["window"], n["come"]), lambda up: weight(up + 1) - weight(up))
+                go = F.when(n["go"].isNotNull(), let(count(n["window"], n["go"]), lambda down: weight(down - 1) - weight(down))).otherwise(0.0)
+                return F.when(n["come"] == n["go"], s["total"]).otherwise(s["total"] + come + go)
+
+            ready = lambda t: F.when(i >= WINDOW - 1, F.least(s["least"], t)).otherwise(s["least"])
+            return let(let(now, moved), lambda t: F.struct(t.alias("total"), ready(t).alias("least")))
+
+        start = F.struct(F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
+        return F.aggregate(F.sequence(F.lit(0), F.length(x) - 1), start, step, lambda s: F.lit(log2(WINDOW)) - s["least"] / WINDOW)
+
+    at = F.sequence(F.lit(0), F.floor((F.length(text) - WINDOW) / SEGMENT).cast("int"))
+    segments = F.transform(at, lambda k: let(F.substring(text, k * SEGMENT + 1, F.lit(SEGMENT + WINDOW - 1)), scan))
+    return F.round(F.array_max(segments), 9)
+
 
-    chars = F.regexp_extract_all(text, F.lit("."), F.lit(0))
-    return F.round(let(chars, lambda c: let(F.struct(c.alias("chars"), F.array_distinct(c).alias("symbols")), scan)), 9)
+def _prefix(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """``join`` (a sum or a maximum of numbers from 0 on) of all values up to each, in chunks: an array is
+    copied whole when a value is appended to it, so no long one is built that way."""
+    appended = lambda s, v: let(join(s["all"], v), lambda t: F.struct(t.alias("all"), F.array_append(s["out"], t).alias("out")))
+    zero = F.struct(F.lit(0).alias("all"), F.array().cast("array<int>").alias("out"))
+    at = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int"))
+    chunks = F.transform(at, lambda c: F.aggregate(F.slice(values, c * CHUNK + 1, F.lit(CHUNK)), zero, appended))
+    before = lambda x: F.concat(F.array(F.lit(0)), F.aggregate(F.transform(x, lambda c: c["all"]), zero, appended, lambda s: s["out"]))
+    whole = lambda x: let(before(x), lambda b: F.flatten(F.transform(x, lambda c, k: F.transform(c["out"], lambda v: join(F.get(b, k), v)))))
+    return F.when(F.size(values) > 0, let(chunks, whole)).otherwise(F.array().cast("array<int>"))
 
 
 def _matches(text: Column, pattern: str, group: int) -> Column:
-    """Every match as (start, end, secret, whole): leftmost, not overlapping; positions in code points."""
+    """Every match as (start, end, secret): leftmost, not overlapping; positions in code points."""
     found = F.struct(
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("secret"),
@@ -101,15 +110,9 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
     )
 
     def placed(x: Column) -> Column:
-        def step(s: Column, i: Column) -> Column:
-            start = s["at"] + F.length(F.get(x["between"], i))
-            end = start + F.length(F.get(x["whole"], i))
-            match = F.struct(start.alias("start"), end.alias("end"), F.get(x["secret"], i).alias("secret"))
-            return F.struct(end.alias("at"), F.array_append(s["out"], match).alias("out"))
-
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,secret:string>>").alias("out"))
-        walk = F.aggregate(F.sequence(F.lit(0), F.size(x["whole"]) - 1), zero, step, lambda s: s["out"])
-        return F.when(F.size(x["whole"]) > 0, walk).otherwise(zero["out"])
+        steps = F.transform(x["whole"], lambda w, i: F.length(w) + F.length(F.get(x["between"], i)))
+        match = lambda end, i: F.struct((end - F.length(F.get(x["whole"], i))).alias("start"), end.alias("end"), F.get(x["secret"], i).alias("secret"))
+        return F.transform(_prefix(steps, lambda a, b: a + b), match)
 
     return let(found, placed)
 
@@ -145,9 +148,11 @@ def find_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """``docs`` with a column ``secret_spans``; a null text counts as empty and has none."""
-    return docs.withColumn("secret_spans", find_spans(F.coalesce(F.col("text"), F.lit(""))))
+def scanned(docs: DataFrame, column: str = "secret_spans") -> DataFrame:
+    """``docs`` with the spans as a new column; a null text counts as empty and has none."""
+    if column in docs.columns:
+        raise ValueError(f"column {column} is taken")
+    return docs.withColumn(column, find_spans(F.coalesce(F.col("text"), F.lit(""))))
 
 
 def listed(spans: Column) -> Column:
@@ -161,7 +166,8 @@ def listed(spans: Column) -> Column:
 def counts(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_assign, n_access, n_hex, base_sha256 and spans.
 
-    An empty table gives an empty result; repeated rows repeat; other columns are ignored.
+    Null and empty texts have none; texts of any length are read whole. An empty table
+    gives an empty result; repeated rows repeat; other columns are ignored.
     """
     rows = scanned(docs.select("doc_id", "text")).select("doc_id", "secret_spans")
     spans = F.col("secret_spans")
@@ -178,22 +184,40 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; names of assignments stay.
 
     Overlapping secrets become one mark. A column n_chars follows the new text. Texts
-    without secrets, null ones too, stay as they are.
+    without secrets, null ones too, stay as they are; repeated rows repeat; an empty
+    table gives an empty result.
     """
 
     def cover(spans: Column) -> Column:
-        def step(s: Column, x: Column) -> Column:
-            gap = F.substring(F.col("text"), s["at"] + 1, F.greatest(x["secret_start"] - s["at"], F.lit(0)))
-            more = F.concat(s["out"], gap, F.when(x["secret_start"] >= s["at"], F.lit(mark)).otherwise(""))
-            return F.struct(F.greatest(s["at"], x["end"]).alias("at"), more.alias("out"))
+        by_secret = F.array_sort(F.transform(spans, lambda s: F.struct(s["secret_start"].alias("start"), s["end"].alias("end"))))
+        ends = lambda x: F.concat(F.array(F.lit(0)), _prefix(F.transform(x, lambda s: s["end"]), lambda a, b: F.greatest(a, b)))
 
-        zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-        rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length(F.col("text"))))
-        by_secret = F.array_sort(F.transform(spans, lambda s: F.struct(s["secret_start"].alias("secret_start"), s["end"].alias("end"))))
-        return F.aggregate(by_secret, zero, step, rest)
+        def cut(x: Column, covered: Column) -> Column:
+            """covered: up to where the text is dealt with before each span, and at the end. A chunk's part of the text is cut out once."""
 
-    spans = F.col("secret_spans")
-    out = scanned(docs).withColumn("text", F.when(F.size(spans) > 0, cover(spans)).otherwise(F.col("text")))
+            def chunk(c: Column) -> Column:
+                first, stop = c * CHUNK, F.least((c + 1) * CHUNK, F.size(x))
+                low = F.get(covered, first)
+                part = F.substring(text, low + 1, F.get(covered, stop) - low)
+
+                def piece(p: Column, i: Column) -> Column:
+                    start, done = F.get(x, i)["start"], F.get(covered, i)
+                    gap = F.substring(p, done - low + 1, F.greatest(start - done, F.lit(0)))
+                    return F.concat(gap, F.when(start >= done, F.lit(mark)).otherwise(""))
+
+                return let(part, lambda p: F.array_join(F.transform(F.sequence(first, stop - 1), lambda i: piece(p, i)), ""))
+
+            pieces = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / CHUNK).cast("int")), chunk)
+            rest = F.substring(text, F.element_at(covered, -1) + 1, F.length(text))
+            return F.concat(F.array_join(pieces, ""), rest)
+
+        return let(by_secret, lambda x: let(ends(x), lambda covered: cut(x, covered)))
+
+    text, column = F.col("text"), "secret_spans"
+    while column in docs.columns:
+        column += "_"
+    spans = F.col(column)
+    out = scanned(docs, column).withColumn("text", F.when(F.size(spans) > 0, cover(spans)).otherwise(text))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
