@@ -186,32 +186,6 @@ FROM split s LEFT JOIN left_over l ON s.doc_id = l.doc_id
 """
 
 
-def _licence_sql() -> str:
-    known = ", ".join(f"'{text}': '<{i}>'" for i, text in licences.SENTENCES.items())
-    layers = "".join(
-        f""", r{k + 1} AS (SELECT doc_id, n_unknown, ids, replace(rest, '{ids}', '|') AS rest,
-            CASE WHEN contains(rest, '{ids}') THEN list_append(names, '{name}') ELSE names END AS names FROM r{k})"""
-        for k, (name, ids) in enumerate(licences.ordered_rules())
-    )
-    return rf"""
-WITH lines AS (
-    SELECT doc_id, list_filter(list_transform(
-        regexp_split_to_array(regexp_replace(coalesce(text, ''), '([.;:!?])[\x20\x09-\x0D]+', '\1' || chr(10), 'g'), '[\n]+'),
-        lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS lines
-    FROM documents
-), known AS (
-    SELECT doc_id, lines, list_transform(lines, lambda s: MAP {{{known}}}[s]) AS ids FROM lines
-), r0 AS (
-    SELECT doc_id, array_to_string(list_filter(ids, lambda i: i IS NOT NULL), '') AS ids,
-           array_to_string(list_filter(ids, lambda i: i IS NOT NULL), '') AS rest, CAST([] AS VARCHAR[]) AS names,
-           len(list_filter(list_zip(lines, ids), lambda z: regexp_matches(z[1], 'licen[sc]e|copyright') AND z[2] IS NULL)) AS n_unknown
-    FROM known
-){layers}
-SELECT doc_id, ids AS sentence_ids, n_unknown, array_to_string(list_sort(list_distinct(names)), ',') AS licences
-FROM r{len(licences.ordered_rules())}
-"""
-
-
 def queries() -> dict[str, Query]:
     every = (
         op1_mix_sources,
@@ -229,4 +203,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": _licence_sql(), "op6_near_vectors": OP6_SQL, "op8_substrings": OP8_SQL}
+    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": licences.sql(), "op6_near_vectors": OP6_SQL, "op8_substrings": OP8_SQL}

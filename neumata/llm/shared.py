@@ -15,22 +15,45 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+#: Folders written by each session, for ``clean``.
+_written: dict[str, list[Scratch]] = {}
+
+
 class Scratch:
-    """Tables written to the shared folder; they cut the lineage and survive lost executors."""
+    """Tables written to the shared folder; they cut the lineage and survive lost executors.
+
+    Results are lazy and may read these tables, so they stay until ``clean``; what no
+    result reads is dropped at once by the operator that wrote it.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.top = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        _written.setdefault(spark.sparkContext.applicationId, []).append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.top}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.top}/{name}")
+        return self.read(name, df)
+
+    def read(self, name: str, like: DataFrame) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(f"{self.top}/{name}")
 
-    def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{name}")
+    def drop(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.top}/{name}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def clean(spark: SparkSession) -> int:
+    """Delete all scratch folders that this session's operators wrote, and say how many.
+
+    Call it when the results have been written; DataFrames returned before are void.
+    """
+    done = _written.pop(spark.sparkContext.applicationId, [])
+    for scratch in done:
+        scratch.drop()
+    return len(done)
+
+
 def words_of(text: Column) -> Column:
     """The words of a text, in order; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
