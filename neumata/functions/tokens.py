@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from neumata.functions.common import let
+
 # The token patterns, beats per duration letter, section weights and rest signs.
 SINGLE = r"^([cqsdh]*)([,']*)([#b♯♭]?)([1-7x0])([,']*)([#b♯♭]?)([cqsdh]*)([.]*)(\]?)$"
 CHORD = r"^([cqsdh]*)((?:[,']*[#b♯♭]?[1-7x0]){2,})([,']*)([#b♯♭]?)([cqsdh]*)([.]*)(\]?)$"
@@ -67,26 +69,31 @@ def digits_of(score: Column) -> Column:
 def merged_notes(score: Column) -> Column:
     """The pitched notes of a score with tied repeats merged.
 
-    ``X ~ X`` is one note if degree and accidental agree, whatever the octave. Plain
-    and timed dashes keep a tie open; rests and other marks end it; of a chord only
-    the first note can be merged.
+    ``X ~ X`` is one note if degree and accidental agree, whatever the octave. A dash
+    and a timed dash keep a tie open; rests and other marks end it; a tie sign counts
+    only after a note. Of a chord only the first note can be merged, into the last
+    pitched note before.
     """
     none = F.lit(None).cast("struct<digit:int,acc:int,oct:int>")
 
     def step(s: Column, token: Column) -> Column:
-        notes = parse_notes(token)
-        pitched = F.filter(notes, lambda n: n["digit"].isNotNull())
-        same = s["tied"] & (F.get(notes, F.lit(0))["digit"] == s["last"]["digit"]) & (F.get(notes, F.lit(0))["acc"] == s["last"]["acc"])
-        more = F.when(F.coalesce(same, F.lit(False)), F.slice(pitched, 2, F.greatest(F.size(pitched), F.lit(1)))).otherwise(pitched)
-        hold = token.rlike("^[cqsdh]*-+$")
-        note = F.size(notes) > 0
-        return F.struct(
-            F.concat(s["out"], more).alias("out"),
-            F.when(note, F.element_at(notes, -1)).when(hold | (token == "~"), s["last"]).otherwise(none).alias("last"),
-            F.when(hold, s["tied"]).otherwise(token == "~").alias("tied"),
-        )
-
-    start = F.struct(F.array().cast(NOTES).alias("out"), none.alias("last"), F.lit(False).alias("tied"))
+        pitched = F.filter(parse_notes(token), lambda n: n["digit"].isNotNull())
+
+        def grown(p: Column) -> Column:
+            first = F.get(p, F.lit(0))
+            same = F.coalesce(s["tied"] & (first["digit"] == s["last"]["digit"]) & (first["acc"] == s["last"]["acc"]), F.lit(False))
+            hold, tie, note = token.rlike("^[cqsdh]*-$"), token == "~", F.size(p) > 0
+            more = F.when(same, F.slice(p, 2, F.greatest(F.size(p), F.lit(1)))).otherwise(p)
+            return F.struct(
+                F.concat(s["out"], more).alias("out"),
+                F.when(note & ~same, F.element_at(p, -1)).when(note & (F.size(p) > 1), F.element_at(p, -1)).otherwise(s["last"]).alias("last"),
+                F.when(hold, s["tied"]).when(tie, s["sounded"]).otherwise(F.lit(False)).alias("tied"),
+                F.when(hold | tie, s["sounded"]).otherwise(note).alias("sounded"),
+            )
+
+        return let(pitched, grown)
+
+    start = F.struct(F.array().cast(NOTES).alias("out"), none.alias("last"), F.lit(False).alias("tied"), F.lit(False).alias("sounded"))
     return F.aggregate(tokens_of(score), start, step, lambda s: s["out"])
 
 

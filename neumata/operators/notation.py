@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from neumata.functions import tokens as T
+from neumata.functions.common import let
 
 # The major and minor key profiles from the tonic upward.
 MAJOR = (6.35, 2.23, 3.48, 2.33, 4.38, 4.09, 2.52, 5.19, 2.39, 3.66, 2.29, 2.88)
@@ -40,28 +41,55 @@ def rest_heavy(tokens: DataFrame, least_tokens: int = 40, share: float = 0.70) -
     return counts.withColumn("rest_heavy", heavy)
 
 
-def bar_starts(score: Column, per_bar: float) -> Column:
-    """The note indices before which a bar line stands.
+def bar_starts(score: Column, per_bar: float | Column) -> Column:
+    """The note indices before which a bar line stands, in an ordered fold over one score's tokens.
 
-    Beats run on over rests, which have no index; a written bar line resets them;
-    adjacent repeats are dropped. An ordered fold over one score's tokens.
+    Notes, rests and held notes take beats; only pitched notes have an index, and a tied
+    repeat has none of its own. A full bar and a written line start the next one from
+    zero; what a bar has too much is not carried. Within a tuplet (``3[`` to ``]``, or as
+    many tokens as its number says) beats are scaled. Adjacent repeats are dropped; a
+    leading 0 stays: the first bar is silent.
     """
+    none = F.lit(None).cast("struct<digit:int,acc:int,oct:int>")
 
     def step(s: Column, token: Column) -> Column:
-        line = token == "|"
-        notes = F.size(F.filter(T.parse_notes(token), lambda n: n["digit"].isNotNull()))
-        beats = F.when(T.is_note(token) | token.rlike("^[cqsdh]*-+$"), T.beat(token)).otherwise(0.0)
-        total = s["beats"] + beats
-        full = line | (total >= per_bar)
-        index = s["index"] + notes
-        new = full & ~F.coalesce(F.element_at(F.concat(F.array(F.lit(-1)), s["out"]), -1) == index, F.lit(False))
-        return F.struct(
-            index.alias("index"),
-            F.when(line, 0.0).when(total >= per_bar, total - per_bar).otherwise(total).alias("beats"),
-            F.when(new, F.array_append(s["out"], index)).otherwise(s["out"]).alias("out"),
+        facts = F.struct(
+            T.parse_notes(token).alias("notes"),
+            F.filter(T.parse_notes(token), lambda n: n["digit"].isNotNull()).alias("pitched"),
+            T.tuplet_ratio(token).alias("tuplet"),
+            token.rlike("^[cqsdh]*-$").alias("hold"),
         )
 
-    start = F.struct(F.lit(0).alias("index"), F.lit(0.0).alias("beats"), F.array().cast("array<int>").alias("out"))
+        def moved(x: Column) -> Column:
+            line, close, tie = token == "|", token == "]", token == "~"
+            opens = x["tuplet"].isNotNull()
+            held = x["hold"] & ~opens
+            note = ~(line | close | tie | opens | held) & (F.size(x["notes"]) > 0)
+            other = ~(line | close | tie | opens | held | note)
+            first = F.get(x["pitched"], F.lit(0))
+            same = note & s["tied"] & (s["index"] > 0) & (first["digit"] == s["last"]["digit"]) & (first["acc"] == s["last"]["acc"])
+            index = s["index"] + F.when(note, F.size(x["pitched"]) - F.coalesce(same, F.lit(False)).cast("int")).otherwise(0)
+            beats = s["beats"] + F.when(note | held, T.beat(token) * s["ratio"]).otherwise(0.0)
+            full = line | (note & (beats >= F.lit(per_bar) - 1e-9 if not isinstance(per_bar, Column) else beats >= per_bar - 1e-9))
+            ends = note & (s["left"] == 1)
+            last = F.element_at(F.concat(F.array(F.lit(-1)), s["out"]), -1)
+            return F.struct(
+                index.alias("index"),
+                F.when(full, 0.0).otherwise(beats).alias("beats"),
+                F.when(opens, x["tuplet"]["num"] / x["tuplet"]["fit_in"]).when(close | ends, 1.0).otherwise(s["ratio"]).alias("ratio"),
+                F.when(opens, x["tuplet"]["fit_in"]).when(close, 0).when(note & (s["left"] > 0), s["left"] - 1).otherwise(s["left"]).alias("left"),
+                F.when(tie, s["sounded"]).when(note | other, F.lit(False)).otherwise(s["tied"]).alias("tied"),
+                F.when(note, F.size(x["pitched"]) > 0).when(other, F.lit(False)).otherwise(s["sounded"]).alias("sounded"),
+                F.when(note & (F.size(x["pitched"]) > 0), F.element_at(x["pitched"], -1)).otherwise(s["last"]).alias("last"),
+                F.when(full & (last != index), F.array_append(s["out"], index)).otherwise(s["out"]).alias("out"),
+            )
+
+        return let(facts, moved)
+
+    start = F.struct(
+        F.lit(0).alias("index"), F.lit(0.0).alias("beats"), F.lit(1.0).alias("ratio"), F.lit(0).alias("left"), F.lit(False).alias("tied"),
+        F.lit(False).alias("sounded"), none.alias("last"), F.array().cast("array<int>").alias("out"),
+    )
     return F.aggregate(T.tokens_of(score), start, step, lambda s: s["out"])
 
 

@@ -7,10 +7,12 @@ best window per song, never all pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from neumata.functions import melody
+from neumata.shared import folder
 
 #: Rows up to which a query table is broadcast.
 FEW = 10_000
@@ -49,13 +51,40 @@ def best_of(rows: DataFrame, *keys: str) -> DataFrame:
     return best.select(*keys, F.shiftright("b", 32).cast("int").alias("diff"), F.col("b").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"))
 
 
-def scan(songs: DataFrame, query: str, *columns: str) -> DataFrame:
-    """(song_id, columns, diff, pos): the best window of each song, the first of equals; shorter songs are left out.
+def scan(songs: DataFrame, queries: str | list[str], *columns: str, symbols: str = "digits") -> DataFrame:
+    """(song_id, columns, diff, pos, at): the best window of each song over one or several queries, the first of equals,
+    and the starts of all that are as good. Songs shorter than every query are left out. Nothing is shuffled."""
+    best = melody.best_windows(F.col(symbols), [queries] if isinstance(queries, str) else queries)
+    rows = songs.select("song_id", *columns, best.alias("b")).where("b.diff IS NOT NULL")
+    return rows.select("song_id", *columns, "b.diff", F.get("b.at", F.lit(0)).alias("pos"), "b.at")
 
-    Windows are reduced within their task before the one shuffle, of a row per song.
+
+def placed_by_section(hits: DataFrame, n: int) -> DataFrame:
+    """``hits`` (at: equally good starts; sections) with pos, sec_w and section of the weightiest place, the first of equals."""
+    rated = F.transform("at", lambda p: F.struct(melody.section_at(F.col("sections"), p, n).alias("s"), p.alias("pos")))
+    order = lambda x: F.struct((-F.coalesce(x["s"]["weight"], F.lit(1.0))).alias("less"), x["pos"].alias("pos"), F.coalesce(x["s"]["name"], F.lit("")).alias("name"))
+    best = hits.withColumn("best", F.array_min(F.transform(rated, order)))
+    return best.withColumns({"pos": F.col("best.pos"), "sec_w": -F.col("best.less"), "section": F.col("best.name")}).drop("best")
+
+
+def listed_hits(songs: DataFrame, query: str, most: int, cap: int = 96) -> DataFrame:
+    """(song_id, pos, diff, best): windows within ``most`` errors, the first ``cap`` of a song, and the least errors of all of them."""
+    rows = songs.select("song_id", melody.near_windows(F.col("digits"), query, most).alias("hits")).where(F.size("hits") > 0)
+    rows = rows.select("song_id", F.array_min(F.transform("hits", lambda h: h["diff"])).alias("best"), F.explode(F.slice("hits", 1, cap)).alias("h"))
+    return rows.select("song_id", "h.pos", "h.diff", "best")
+
+
+def aligned_songs(songs: DataFrame, segments: list[str], most: int = 0, cap: int = 96, most_gap: int = 8) -> DataFrame:
+    """(song_id, diff, at): songs that hold all segments; at are their starts as one phrase, null where they make none.
+
+    diff is the largest of the least errors of the segments; ``cap`` places of a segment are tried.
     """
-    rows = grams(songs, len(query), *columns).select("song_id", *columns, differing(F.col("gram"), query, len(query)).alias("diff"), "pos")
-    return best_of(rows, "song_id", *columns)
+    names = [f"found{k}" for k in range(len(segments))]
+    rows = songs.select("song_id", *(melody.near_windows(F.col("digits"), q, most).alias(c) for c, q in zip(names, segments, strict=True)))
+    for c in names:
+        rows = rows.where(F.size(c) > 0)
+    least = F.greatest(*(F.array_min(F.transform(c, lambda h: h["diff"])) for c in names), F.lit(0))
+    return rows.select("song_id", least.alias("diff"), melody.aligned(segments, [F.slice(c, 1, cap) for c in names], most_gap)["at"].alias("at"))
 
 
 def exact_hits(songs: DataFrame, queries: DataFrame, n: int) -> DataFrame:
@@ -83,13 +112,15 @@ def seed_search(songs: DataFrame, queries: DataFrame, n: int, errors: int) -> Da
     return best_of(near, "query_id", "song_id")
 
 
-def annotate(songs: DataFrame) -> DataFrame:
-    """``songs`` with pop (rows of its title) and hot (the larger corpus frequency of its site and language names)."""
-    pops = songs.groupBy("title").agg(F.count("*").alias("pop"))
-    names = songs.select(F.explode(F.array_distinct(F.array("site", "lang"))).alias("name")).groupBy("name").agg(F.count("*").alias("heat"))
+def annotate(hits: DataFrame, songs: DataFrame) -> DataFrame:
+    """``hits`` (title, site, lang) with pop (songs of the title) and hot (the larger corpus frequency of its site and
+    language names). Only these short columns are shuffled, never the symbols."""
+    named = songs.select("title", "site", "lang")
+    pops = named.groupBy("title").agg(F.count("*").alias("pop"))
+    names = named.select(F.explode(F.array_distinct(F.array("site", "lang"))).alias("name")).groupBy("name").agg(F.count("*").alias("heat"))
     of = lambda c: few(names.select(F.col("name").alias(c), F.col("heat").alias(f"{c}_heat")))
-    out = songs.join(pops, "title").join(of("site"), "site").join(of("lang"), "lang")
-    return out.select(*songs.columns, "pop", F.greatest("site_heat", "lang_heat").alias("hot"))
+    out = hits.join(pops, "title").join(of("site"), "site").join(of("lang"), "lang")
+    return out.select(*hits.columns, "pop", F.greatest("site_heat", "lang_heat").alias("hot"))
 
 
 def ranked(hits: DataFrame, top: int) -> DataFrame:
@@ -105,28 +136,64 @@ def first_of_title(songs: DataFrame) -> DataFrame:
     return songs.join(firsts, "title")
 
 
-def shared_runs(pairs: DataFrame, songs: DataFrame, n: int) -> DataFrame:
-    """(a, b, lcs): the longest common substring of each pair (a, b), where it has n symbols or more.
+def shared_runs(pairs: DataFrame, songs: DataFrame, n: int, places: bool = False) -> DataFrame:
+    """(a, b, lcs): the longest common substring of each pair (a, b), where it has n symbols or more; with ``places`` also
+    where the first of the longest starts in a and b (pa, pb).
 
-    Equal n-grams on one diagonal at neighbouring positions make a run, whose length
-    is its number of grams plus n - 1.
+    Whole songs meet in Arrow batches, pair by pair: windows that a repetitive song holds many times are
+    not multiplied with those of its partner.
     """
-    side = lambda c, p: numbered_grams(
-        songs.join(pairs.select(F.col(c).alias("song_id")), "song_id", "left_semi"), n
-    ).select(F.col("song_id").alias(c), F.col("pos").alias(p), "gram")
-    both = pairs.join(side("a", "pa"), "a").join(side("b", "pb"), ["b", "gram"])
-    diagonal = both.select("a", "b", (F.col("pa") - F.col("pb")).alias("d"), "pa")
-    order = Window.partitionBy("a", "b", "d").orderBy("pa")
-    runs = diagonal.withColumn("island", F.col("pa") - F.row_number().over(order)).groupBy("a", "b", "d", "island").agg(F.count("*").alias("n"))
-    return runs.groupBy("a", "b").agg((F.max("n") + n - 1).alias("lcs"))
+    side = lambda c: songs.select(F.col("song_id").alias(c), F.col("digits").alias(f"{c}_digits"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    # by number, as the work is in the comparison and small joined rows would be put together into one task
+    both = both.repartition(int(songs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    @F.pandas_udf("struct<lcs:long,pa:int,pb:int>")
+    def longest(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([melody.longest_shared(a, b, n) for a, b in zip(x, y, strict=True)], columns=["lcs", "pa", "pb"])
+
+    rows = both.select("a", "b", longest("a_digits", "b_digits").alias("r")).where("r.lcs > 0")
+    return rows.select("a", "b", "r.lcs", *(["r.pa", "r.pb"] if places else []))
+
+
+def distinct_grams(songs: DataFrame, n: int) -> DataFrame:
+    """(song_id, gram): the different windows of n symbols of each song as numbers, made different within the row."""
+    if n > 18:
+        raise ValueError("a long holds 18 symbols")
+    return songs.select("song_id", F.explode(F.array_distinct(melody.ngrams(F.col("digits"), n))).alias("g")).select("song_id", F.col("g").cast("long").alias("gram"))
 
 
-def clone_links(songs: DataFrame, n: int, least: int) -> DataFrame:
-    """(song_id, leader, shared): songs that share ``least`` or more distinct n-grams with the first song that holds them.
+def clone_links(spark: SparkSession, songs: DataFrame, n: int, least: int) -> DataFrame:
+    """(a, b, shared), b < a: links between songs that share ``least`` or more different n-grams, with their exact number.
 
-    Links go to a gram's first holder alone, so they are as many as gram holdings, not pairs.
+    Any two such songs are linked, directly or over others that each link holds for, without a list of all pairs of
+    a crowd. Songs of equal grams link to the first of them, which alone goes on. Grams that the same songs hold make
+    a class; the holders of a class of ``least`` grams or more link to its first holder. What is left are pairs that
+    share enough of the smaller classes: they are looked for without each song's most common classes that weigh less
+    than ``least`` together, so that a gram that is everywhere pairs nobody, and then added up exactly.
     """
-    held = numbered_grams(songs, n).select("song_id", "gram").distinct()
-    leaders = held.groupBy("gram").agg(F.min("song_id").alias("leader"), F.count("*").alias("df")).where("df > 1").drop("df")
-    links = held.join(leaders, "gram").where("song_id <> leader").groupBy("song_id", "leader").agg(F.count("*").alias("shared"))
-    return links.where(F.col("shared") >= least)
+    keep = folder(spark, "clones")
+    held = keep(distinct_grams(songs, n), "held")
+    mixed = lambda seed, c: F.xxhash64(F.lit(seed), c)
+    digest = lambda c: (F.count("*").alias("k"), F.bit_xor(mixed(1, c)).alias("x"), F.sum(F.pmod(mixed(2, c), F.lit(1 << 40))).alias("y"))
+    sets = keep(held.groupBy("song_id").agg(*digest("gram")).where(F.col("k") >= least), "sets")
+    firsts = sets.groupBy("k", "x", "y").agg(F.min("song_id").alias("first"))
+    of_set = keep(sets.join(firsts, ["k", "x", "y"]).select("song_id", "first", F.col("k").alias("shared")), "of_set")
+    equal = of_set.where("song_id <> first").select(F.col("song_id").alias("a"), F.col("first").alias("b"), "shared")
+
+    held = keep(held.join(of_set.where("song_id = first").select("song_id"), "song_id", "left_semi"), "firsts")
+    holders = held.groupBy("gram").agg(*digest("song_id"), F.min("song_id").alias("first")).where("k > 1")
+    classes = keep(holders.groupBy("k", "x", "y", "first").agg(F.count("*").alias("w"), F.min("gram").alias("gram")), "classes")  # any gram names its class
+    named = keep(held.join(classes.select("gram", "first", "w", "k"), "gram").select("gram", "song_id", "first", "w", "k"), "named")
+    crowds = named.where((F.col("w") >= least) & (F.col("song_id") != F.col("first"))).select(F.col("song_id").alias("a"), F.col("first").alias("b"))
+    small = named.where(F.col("w") < least)
+    common_last = Window.partitionBy("song_id").orderBy(F.desc("k"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, 0)
+    rare = small.withColumn("after", F.sum("w").over(common_last)).where(F.col("after") >= least)  # songs that share enough share one of these
+    pairs = rare.select("gram", F.col("song_id").alias("a")).join(rare.select("gram", F.col("song_id").alias("b")), "gram").where("b < a").select("a", "b").distinct()
+
+    def shared(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+        left, right = rows.select(F.col("song_id").alias("a"), "gram", "w"), rows.select(F.col("song_id").alias("b"), "gram")
+        return pairs.join(left, "a").join(right, ["b", "gram"]).groupBy("a", "b").agg(F.sum("w").alias("shared"))
+
+    linked = crowds.union(shared(pairs, small).where(F.col("shared") >= least).select("a", "b")).distinct()
+    return equal.unionByName(shared(keep(linked, "linked"), named))

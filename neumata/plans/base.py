@@ -71,6 +71,36 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, sf_dir).groupBy("song_id").agg(F.array_join(F.transform(ordered, lambda x: x["w"]), " ").alias("score"))
 
 
+#: Sections of the test songs: 100 notes each, in turn.
+SECTIONS = ("intro", "verse", "chorus", "bridge")
+
+
+def sectioned(songs: DataFrame) -> DataFrame:
+    """``songs`` with n_notes and sections, an array of struct(start, name)."""
+    parts = F.sequence(F.lit(0), F.floor(F.greatest(F.length("digits") - 1, F.lit(0)) / 100).cast("int"))
+    name = lambda k: F.get(F.array(*map(F.lit, SECTIONS)), k % len(SECTIONS))
+    sections = F.transform(parts, lambda k: F.struct((k * 100).alias("start"), name(k).alias("name")))
+    return songs.withColumns({"n_notes": F.length("digits"), "sections": sections})
+
+
+def section_weight_sql(pos: str) -> str:
+    return f"[0.8, 1.25, 1.6, 1.1][1 + {pos} // 100 % 4]::DOUBLE"
+
+
+def names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part as folder names of all kinds: p_partkey, name. Some are doubled, numbered, bracketed, or end in markers and a site's number."""
+    p, key = F.col("p_name"), F.col("p_partkey").cast("string")
+    kinds = (
+        p, F.concat(p, F.lit("简谱_李四演唱")), F.concat(F.lit("12春天"), p), F.concat(F.replace(p, F.lit(" "), F.lit("")), F.replace(p, F.lit(" "), F.lit("_"))),
+        F.concat(p, F.lit("（张三词_王五曲）")), F.concat(p, F.lit("钢琴谱（C调）__sitea-"), key), F.concat(F.lit("春天"), p, F.lit("2简谱__siteb-"), key), F.concat(F.lit("_"), p, F.lit("123456")),
+    )
+    kind = F.get(F.array(*kinds), (F.col("p_partkey") % len(kinds)).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", kind.alias("name"))
+
+
+NAMES_SQL = """names AS (SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN p_name WHEN 1 THEN p_name || '简谱_李四演唱' WHEN 2 THEN '12春天' || p_name
+    WHEN 3 THEN replace(p_name, ' ', '') || replace(p_name, ' ', '_') WHEN 4 THEN p_name || '（张三词_王五曲）' WHEN 5 THEN p_name || '钢琴谱（C调）__sitea-' || p_partkey
+    WHEN 6 THEN '春天' || p_name || '2简谱__siteb-' || p_partkey ELSE '_' || p_name || '123456' END AS name FROM part)"""
 DIGITS_SQL = "translate(lower(regexp_replace(coalesce({}, ''), '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', '12345671234567123456712345')"
 SONGS_SQL = f"""songs AS (
     SELECT doc_id AS song_id, coalesce(source, '') AS site, coalesce(lang, '') AS lang,

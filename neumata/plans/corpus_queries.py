@@ -259,19 +259,6 @@ def invariants_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""SELECT item_id, CASE WHEN exact > 0 THEN 'hit' WHEN length(text) < 200 THEN 'too short' WHEN loose > 0 THEN 'fuzzy' ELSE 'miss' END AS verdict FROM (
-    SELECT item_id, b.text, (SELECT count(*) FROM documents d WHERE lower(left(d.text, 24)) = lower(left(b.text, 24))) AS exact,
-    (SELECT count(*) FROM documents d WHERE lower(left(d.text, 3)) = lower(left(b.text, 3))) AS loose FROM benchmark b)""")
-def coverage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = lambda n: F.lower(F.left("text", F.lit(n)))
-    docs = table(spark, sf_dir, "documents")
-    keys = lambda n: docs.select(head(n).alias(f"h{n}")).where(F.col(f"h{n}").isNotNull()).distinct().withColumn(f"has{n}", F.lit(True))
-    items = table(spark, sf_dir, "benchmark").select("item_id", "text", head(24).alias("h24"), head(3).alias("h3"))
-    joined = items.join(keys(24), "h24", "left").join(keys(3), "h3", "left")
-    verdict = F.when(F.col("has24"), "hit").when(F.length("text") < 200, "too short").when(F.col("has3"), "fuzzy").otherwise("miss")
-    return joined.select("item_id", verdict.alias("verdict"))
-
-
 @query("SELECT source, quantile_disc(n_chars, 0.5) AS median, min(n_chars) AS low, max(n_chars) AS high, count(*) AS n FROM documents WHERE n_chars IS NOT NULL AND source IS NOT NULL GROUP BY source")
 def length_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").where("n_chars IS NOT NULL AND source IS NOT NULL")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from neumata.functions import melody
 from neumata.functions.tokens import parse_notes
 from neumata.operators import search
-from neumata.plans.base import SONGS_SQL, TOKENS_SQL, fragments, fragments_sql, query, songs, table, tokens, windows_sql
+from neumata.operators.graph import components
+from neumata.plans.base import SONGS_SQL, TOKENS_SQL, fragments, fragments_sql, query, section_weight_sql, sectioned, songs, table, tokens, windows_sql
 
 QUERY, SHORT, SECOND = "512374612354613", "5123746", "3151462"
 NOTES_QUERY = [(1, 0), (5, 1), (3, 0)]
@@ -37,7 +38,7 @@ def exact_find(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{BEST_SQL} SELECT * FROM hits")
 def hamming_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.scan(songs(spark, sf_dir), QUERY)
+    return search.scan(songs(spark, sf_dir), QUERY).drop("at")
 
 
 @query(f"""WITH {SONGS_SQL}, {windows_sql(7)} SELECT song_id, count(*) AS n_windows, CAST(min(pos) AS INT) AS first_pos
@@ -70,12 +71,12 @@ def acc_cost_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notes.select("song_id", best.alias("b")).where("b IS NOT NULL").select("song_id", F.col("b.diff").alias("cost"), "b.pos")
 
 
-@query(f"""WITH {SONGS_SQL}, variants AS (SELECT unnest({melody.deletion_variants(SHORT)}) AS v)
-SELECT song_id, v AS variant, CAST(strpos(digits, v) - 1 AS INT) AS pos FROM songs, variants WHERE contains(digits, v)""")
+@query(f"""WITH {SONGS_SQL}, variants AS (SELECT unnest({melody.deletion_variants(SHORT)}) AS v), windows AS (
+    SELECT song_id, v, pos, substr(digits, pos + 1, length(v)) AS w FROM (SELECT song_id, digits, v, unnest(range(length(digits) - length(v) + 1)) AS pos FROM songs, variants WHERE length(digits) >= length(v)))
+SELECT song_id, CAST(min(hamming(w, v)) AS INT) AS diff, CAST(min(hamming(w, v) * 100000000 + pos) % 100000000 AS INT) AS pos FROM windows GROUP BY song_id""")
 def indel_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    variants = F.array(*map(F.lit, melody.deletion_variants(SHORT)))
-    rows = songs(spark, sf_dir).select("song_id", "digits", F.explode(variants).alias("variant"))
-    return rows.where(F.col("digits").contains(F.col("variant"))).select("song_id", "variant", (F.expr("instr(digits, variant)") - 1).alias("pos"))
+    """The best window over the query and all its single deletions."""
+    return search.scan(songs(spark, sf_dir), melody.deletion_variants(SHORT)).drop("at")
 
 
 @query(f"""WITH {SONGS_SQL}, {windows_sql(7)} SELECT title, CAST(min(a + b) AS BIGINT) AS total, count(*) AS n_songs
@@ -119,45 +120,114 @@ def ngram_ambiguity(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT title, w, count(*) AS versions FROM own GROUP BY 1, 2)
 SELECT o.title, o.song_id, count(*) AS n_windows, count(*) FILTER (versions = 1) AS n_unique FROM own o JOIN shared s ON o.title = s.title AND o.w = s.w GROUP BY 1, 2""")
 def version_unique_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = search.numbered_grams(songs(spark, sf_dir), 11, "title").select("title", "song_id", "gram").distinct()
-    versions = own.groupBy("title", "gram").agg(F.count("*").alias("versions"))
-    return own.join(versions, ["title", "gram"]).groupBy("title", "song_id").agg(F.count("*").alias("n_windows"), F.count_if(F.col("versions") == 1).alias("n_unique"))
+    """One shuffle of the windows: a window is unique in its title if its first and last holder are one song."""
+    every = songs(spark, sf_dir).select("song_id", "title", F.array_distinct(melody.ngrams(F.col("digits"), 11)).alias("own"))
+    grams = every.select("song_id", F.xxhash64("title").alias("t"), F.explode("own").alias("gram")).withColumn("gram", F.col("gram").cast("long"))
+    holders = grams.groupBy("t", "gram").agg(F.min("song_id").alias("song_id"), F.max("song_id").alias("last")).where("song_id = last")
+    unique = holders.groupBy("song_id").agg(F.count("*").alias("n_unique"))
+    rows = every.select("title", "song_id", F.size("own").cast("long").alias("n_windows")).where("n_windows > 0").join(unique, "song_id", "left")
+    return rows.select("title", "song_id", "n_windows", F.coalesce("n_unique", F.lit(0).cast("long")).alias("n_unique"))
+
+
+def links_sql(of: str = "songs", n: int = 14, least: int = 12) -> str:
+    """The links of ``search.clone_links`` from their definition: songs of equal grams, holders of classes of grams, pairs of several small classes."""
+    return f"""{windows_sql(n, of)}, grams AS (SELECT DISTINCT song_id, w FROM windows), sets AS (
+    SELECT song_id, list(w ORDER BY w) AS g, count(*) AS k FROM grams GROUP BY song_id HAVING count(*) >= {least}
+), of_set AS (SELECT song_id, k, min(song_id) OVER (PARTITION BY g) AS first FROM sets
+), held AS (SELECT song_id, w FROM grams SEMI JOIN (FROM of_set WHERE song_id = first) USING (song_id)
+), holders AS (SELECT w, list(song_id ORDER BY song_id) AS h FROM held GROUP BY w HAVING count(*) > 1
+), classes AS (SELECT h, count(*) AS weight FROM holders GROUP BY h
+), crowds AS (SELECT DISTINCT unnest(h[2:]) AS a, h[1] AS b FROM classes WHERE weight >= {least}
+), small AS (SELECT unnest(h) AS song_id, row_number() OVER () AS class, weight FROM classes WHERE weight < {least}
+), named AS (SELECT song_id, any_value(weight) AS weight, class FROM small GROUP BY song_id, class
+), met AS (SELECT x.song_id AS a, y.song_id AS b FROM named x JOIN named y ON x.class = y.class AND y.song_id < x.song_id GROUP BY 1, 2 HAVING sum(x.weight) >= {least}
+), ends AS (FROM crowds UNION FROM met
+), links AS (SELECT a, b, count(*) AS shared FROM ends JOIN held x ON x.song_id = a JOIN held y ON y.song_id = b AND y.w = x.w GROUP BY 1, 2
+    UNION ALL SELECT song_id, first, k FROM of_set WHERE song_id <> first)"""
+
+
+RUNS_SQL = """met2 AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM links JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
+), runs AS (SELECT a, b, d, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met2)"""
+
+
+@query(f"""WITH RECURSIVE {SONGS_SQL}, {windows_sql(14)}, held AS (SELECT DISTINCT song_id, w FROM windows
+), pairs AS (SELECT x.song_id AS a, y.song_id AS b FROM held x JOIN held y ON x.w = y.w AND x.song_id <> y.song_id GROUP BY 1, 2 HAVING count(*) >= 12
+), reach AS (SELECT a AS song_id, a AS seen FROM pairs UNION SELECT r.song_id, p.b FROM reach r JOIN pairs p ON r.seen = p.a)
+SELECT song_id, min(seen) AS class_id FROM reach GROUP BY song_id""")
+def clone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of each song that shares 12 windows of 14 notes or more with another: the first song reachable over such links."""
+    links = search.clone_links(spark, songs(spark, sf_dir).select("song_id", "digits"), 14, 12)
+    return components(spark, links.select("a", "b")).select(F.col("node").alias("song_id"), F.col("component").alias("class_id"))
 
 
-@query(f"""WITH {SONGS_SQL}, {windows_sql(14)}, held AS (SELECT DISTINCT song_id, w FROM windows), led AS (
-    SELECT song_id, min(song_id) OVER (PARTITION BY w) AS leader FROM held)
-SELECT song_id, leader, count(*) AS shared FROM led WHERE song_id <> leader GROUP BY 1, 2 HAVING count(*) >= 12""")
-def clone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.clone_links(songs(spark, sf_dir), 14, 12)
+@query(f"WITH {SONGS_SQL}, {links_sql()} SELECT * FROM links")
+def clone_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.clone_links(spark, songs(spark, sf_dir).select("song_id", "digits"), 14, 12)
 
 
-@query(f"""WITH {SONGS_SQL}, {windows_sql(14)}, held AS (SELECT DISTINCT song_id, w FROM windows), led AS (
-    SELECT song_id, min(song_id) OVER (PARTITION BY w) AS leader FROM held
-), pairs AS (SELECT song_id AS a, leader AS b FROM led WHERE song_id <> leader GROUP BY 1, 2 HAVING count(*) >= 12
-), met AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM pairs JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
-), runs AS (SELECT a, b, d, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met)
-SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2""")
+@query(f"WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL} SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2")
 def lcs_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = search.clone_links(songs(spark, sf_dir), 14, 12).select(F.col("song_id").alias("a"), F.col("leader").alias("b"))
-    return search.shared_runs(pairs, songs(spark, sf_dir), 14)
+    every = songs(spark, sf_dir).select("song_id", "digits")
+    return search.shared_runs(search.clone_links(spark, every, 14, 12).select("a", "b"), every, 14)
+
+
+@query(f"""WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL}, longest AS (SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2)
+SELECT a, b, CASE WHEN x.title = y.title THEN 'same title' WHEN 10 * lcs >= 9 * least(length(x.digits), length(y.digits)) THEN 'contained' ELSE 'partial' END AS kind
+FROM longest JOIN songs x ON x.song_id = a JOIN songs y ON y.song_id = b""")
+def clone_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = songs(spark, sf_dir)
+    runs = search.shared_runs(search.clone_links(spark, every.select("song_id", "digits"), 14, 12).select("a", "b"), every.select("song_id", "digits"), 14)
+    side = lambda c: every.select(F.col("song_id").alias(c), F.col("title").alias(f"{c}_title"), F.length("digits").alias(f"{c}_n"))
+    both = runs.join(side("a"), "a").join(side("b"), "b")
+    kind = F.when(F.col("a_title") == F.col("b_title"), "same title").when(10 * F.col("lcs") >= 9 * F.least("a_n", "b_n"), "contained").otherwise("partial")
+    return both.select("a", "b", kind.alias("kind"))
 
 
-@query(f"""WITH {SONGS_SQL}, short AS (SELECT song_id, levenshtein(substr(digits, 1, 60), '{QUERY}') AS edits, length(digits) AS n FROM songs)
-SELECT song_id, CAST(edits AS INT) AS edits, CAST(n AS INT) AS n_notes FROM short""")
+@query(f"""WITH {SONGS_SQL} SELECT song_id, CAST(levenshtein(digits, '{QUERY}') AS INT) AS edits, CAST(length(digits) AS INT) AS n_notes FROM songs""")
 def levenshtein_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return songs(spark, sf_dir).select("song_id", F.levenshtein(F.substring("digits", 1, 60), F.lit(QUERY)).alias("edits"), F.length("digits").alias("n_notes"))
+    """Edits between the fragment and each whole score."""
+    return songs(spark, sf_dir).select("song_id", F.levenshtein("digits", F.lit(QUERY)).alias("edits"), F.length("digits").alias("n_notes"))
 
 
-@query(f"""{BEST_SQL}, pops AS (SELECT title, count(*) AS pop FROM songs GROUP BY title), heat AS (
+PLACED_SQL = f"""tied AS (SELECT song_id, diff, unnest(range(length(digits) - {len(QUERY) - 1})) AS pos, digits FROM hits JOIN songs USING (song_id)
+), weighed AS (SELECT song_id, diff, pos, greatest({section_weight_sql('pos')}, {section_weight_sql(f'(pos + {len(QUERY) - 1})')}) AS sec_w
+    FROM tied WHERE hamming(substr(digits, pos + 1, {len(QUERY)}), '{QUERY}') = diff
+), placed AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY song_id ORDER BY sec_w DESC, pos) = 1)"""
+RANKED_SQL = f"""{BEST_SQL}, {PLACED_SQL}, pops AS (SELECT title, count(*) AS pop FROM songs GROUP BY title), heat AS (
     SELECT name, count(*) AS heat FROM (SELECT unnest(list_distinct([site, lang])) AS name FROM songs) GROUP BY name
-), rows AS (SELECT s.song_id, title, diff, pos, pop, greatest(a.heat, b.heat) AS hot, length(digits) AS n_notes
-    FROM hits h JOIN songs s USING (song_id) JOIN pops USING (title) JOIN heat a ON a.name = site JOIN heat b ON b.name = lang)
-SELECT row_number() OVER (ORDER BY diff, pop DESC, hot DESC, n_notes, title, song_id) AS rank, song_id, title, diff, pos, pop, hot
-FROM rows ORDER BY rank LIMIT 20""")
+), rows AS (SELECT s.song_id, title, diff, pos, pop, greatest(a.heat, b.heat) AS hot, sec_w, length(digits) AS n_notes, digits
+    FROM placed h JOIN songs s USING (song_id) JOIN pops USING (title) JOIN heat a ON a.name = site JOIN heat b ON b.name = lang
+), top AS (SELECT row_number() OVER (ORDER BY diff, pop DESC, hot DESC, sec_w DESC, n_notes, title, song_id) AS rank, * FROM rows ORDER BY rank LIMIT 20)"""
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = sectioned(songs(spark, sf_dir))
+    hits = search.placed_by_section(search.scan(every, QUERY, "title", "site", "lang", "sections", "n_notes"), len(QUERY))
+    return search.ranked(search.annotate(hits.drop("sections", "at"), songs(spark, sf_dir)), 20)
+
+
+@query(f"{RANKED_SQL} SELECT rank, song_id, title, diff, pos, pop, hot, sec_w FROM top")
 def rank_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = search.annotate(songs(spark, sf_dir).withColumn("n_notes", F.length("digits")))
-    hits = search.scan(every, QUERY, "title", "pop", "hot", "n_notes").withColumn("sec_w", F.lit(1.0))
-    return search.ranked(hits, 20).select("rank", "song_id", "title", "diff", "pos", "pop", "hot")
+    return _ranked(spark, sf_dir).select("rank", "song_id", "title", "diff", "pos", "pop", "hot", "sec_w")
+
+
+SPAN = len(QUERY)
+BARS_SQL = f"pos // 8 * 8 AS b0, least((pos + {SPAN - 1}) // 8 * 8 + 8, n_notes) AS b1"
+
+
+@query(f"""{RANKED_SQL}, spans AS (SELECT rank, song_id, digits, pos, {BARS_SQL}, greatest(pos // 8, 1) AS bar_from, greatest((pos + {SPAN - 1}) // 8, 1) AS bar_to FROM top)
+SELECT rank, song_id, bar_from, bar_to, array_to_string(list_transform(range(b0, b1), lambda i: CASE WHEN i % 8 = 0 AND i > b0 THEN '| ' ELSE '' END
+    || CASE WHEN i = pos THEN '【' ELSE '' END || digits[i + 1] || CASE WHEN i = pos + {SPAN - 1} THEN '】' ELSE '' END), ' ') AS snippet FROM spans""")
+def hit_snippets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bars around each ranked hit; texts are looked up for the report's rows alone. A bar line stands before every eighth note but the first."""
+    top = _ranked(spark, sf_dir).select("rank", "song_id", "pos")
+    rows = songs(spark, sf_dir).select("song_id", melody.symbols(F.col("digits")).alias("notes")).join(F.broadcast(top), "song_id")  # 20 rows
+    bars = F.when(F.size("notes") > 8, F.sequence(F.lit(8), F.size("notes") - 1, F.lit(8))).otherwise(F.array().cast("array<int>"))
+    rows = rows.withColumn("bars", bars)
+    span = melody.bar_span(F.col("bars"), F.col("pos"), SPAN)
+    return rows.select(
+        "rank", "song_id", span["bar_from"].alias("bar_from"), span["bar_to"].alias("bar_to"), melody.snippet(F.col("notes"), F.col("bars"), F.col("pos"), SPAN).alias("snippet")
+    )
 
 
 @query(f"{BEST_SQL} SELECT min(diff) AS diff, count(*) FILTER (diff = (SELECT min(diff) FROM hits)) AS n_tied, count(*) AS n_songs FROM hits")
@@ -177,30 +247,22 @@ def sequencematcher_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", ratio("p_name", "p_type").alias("ratio"))
 
 
-@query(f"""WITH {SONGS_SQL}, {fragments_sql(15)}, {windows_sql(15)}, near AS (
-    SELECT query_id, song_id, min(hamming(w, q)) AS diff FROM windows, fragments WHERE hamming(w, q) <= 2 GROUP BY 1, 2
-), placed AS (SELECT query_id, rank() OVER (PARTITION BY query_id ORDER BY diff) AS rank, count(*) OVER (PARTITION BY query_id, diff) AS ties FROM near
-), firsts AS (SELECT query_id, min(rank) AS rank, any_value(ties) AS ties FROM placed WHERE rank = 1 GROUP BY 1)
-SELECT (SELECT count(*) FROM fragments) AS queries, count(*) AS hit1, count(*) FILTER (ties <= 3) AS pessimistic3, CAST(sum(ties) AS BIGINT) AS tied FROM firsts""")
-def retrieval_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    queries = fragments(spark, sf_dir, 15)
-    near = search.seed_search(songs(spark, sf_dir), queries, 15, 2)
-    by_diff = near.groupBy("query_id", "diff").agg(F.count("*").alias("n"))
-    firsts = by_diff.groupBy("query_id").agg(F.min_by("n", "diff").alias("ties"))
-    found = firsts.agg(F.count("*").alias("hit1"), F.count_if(F.col("ties") <= 3).alias("pessimistic3"), F.sum("ties").alias("tied"))
-    return queries.agg(F.count("*").alias("queries")).crossJoin(found)  # one row and one row
-
-
-@query(f"""WITH {SONGS_SQL}, shifted AS MATERIALIZED (SELECT song_id, title, array_to_string(list_transform(range(1, length(digits)),
-    lambda i: (CAST(digits[i + 1] AS INT) - CAST(digits[i] AS INT) + 7) % 7), '') AS digits FROM songs
-), {windows_sql(14, "shifted")}, held AS (SELECT DISTINCT song_id, w FROM windows), led AS (
-    SELECT song_id, min(song_id) OVER (PARTITION BY w) AS leader FROM held
-), pairs AS (SELECT song_id AS a, leader AS b FROM led WHERE song_id <> leader GROUP BY 1, 2 HAVING count(*) >= 12
-), met AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM pairs JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
-), runs AS (SELECT a, b, d, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met)
-SELECT a, b, max(n) + 14 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2""")
+SHIFTED_SQL = """shifted AS MATERIALIZED (SELECT song_id, title, array_to_string(list_transform(range(1, length(digits)),
+    lambda i: (CAST(digits[i + 1] AS INT) - CAST(digits[i] AS INT) + 7) % 7), '') AS digits FROM songs)"""
+
+
+@query(f"""WITH {SONGS_SQL}, {SHIFTED_SQL}, {links_sql("shifted")}, {RUNS_SQL}, sized AS (
+    SELECT a, b, d, max(p) AS p, count(*) AS n FROM (SELECT a, b, d, met2.p, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met2) GROUP BY a, b, d, island
+), best AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY n DESC, p - n, p - n - d) = 1)
+SELECT a, b, n + 14 AS lcs, (CAST(x.digits[p - n + 2] AS INT) - CAST(y.digits[p - n - d + 2] AS INT) + 7) % 7 AS shift
+FROM best JOIN songs x ON x.song_id = a JOIN songs y ON y.song_id = b""")
 def modal_shift_lcs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Longest common substrings up to a modal shift: a shift leaves the contour, so runs of contours are one note longer."""
-    shifted = songs(spark, sf_dir).select("song_id", melody.contour(F.col("digits")).alias("digits"))
-    pairs = search.clone_links(shifted, 14, 12).select(F.col("song_id").alias("a"), F.col("leader").alias("b"))
-    return search.shared_runs(pairs, shifted, 14).withColumn("lcs", F.col("lcs") + 1)
+    """Longest common substrings up to a modal shift, with the shift of the first of the longest: a shift leaves the
+    contour, so runs of contours are one note longer."""
+    every = songs(spark, sf_dir).select("song_id", "digits")
+    shifted = every.select("song_id", melody.contour(F.col("digits")).alias("digits"))
+    runs = search.shared_runs(search.clone_links(spark, shifted, 14, 12).select("a", "b"), shifted, 14, places=True)
+    side = lambda c: every.select(F.col("song_id").alias(c), F.col("digits").alias(f"{c}_digits"))
+    at = lambda c, p: F.substring(F.col(f"{c}_digits"), F.col(p) + 1, F.lit(1)).cast("int")
+    both = runs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", (F.col("lcs") + 1).alias("lcs"), F.pmod(at("a", "pa") - at("b", "pb"), F.lit(7)).alias("shift"))

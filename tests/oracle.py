@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 
 import duckdb
@@ -55,7 +56,7 @@ if __name__ == "__main__":
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    sf = "/root/testdata/sf0.01"
+    sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = [n for n in entry.queries() if not sys.argv[1:] and n[:2] != "op" or any(n.startswith(a) for a in sys.argv[1:])]
     for n in names:
         t = time.time()
