@@ -148,7 +148,9 @@ def covered(songs: DataFrame, want: DataFrame, similar: Callable[[DataFrame, lis
         raise ValueError(f"a list of {few} titles at most can be looked up")
     by_title, by_alias = names("title"), names("alias")
     rank = F.struct((F.col("n_notes") < least_notes).alias("short"), "title")
-    direct = lambda rows: same_titles(rows.select("title").distinct(), wanted).join(rows, "title").groupBy("wanted").agg(F.min(rank).alias("b"))
+    # a stated list of ``few`` titles against all rows
+    met = lambda rows: rows.join(F.broadcast(wanted), titles.same_title(F.col("title"), F.col("wanted")))
+    direct = lambda rows: met(rows).groupBy("wanted").agg(F.min(rank).alias("b"))
     hit = direct(by_title).select("wanted", F.col("b.short").alias("short"), F.col("b.title").alias("hit"))
     alias = direct(by_alias).select("wanted", F.col("b.title").alias("alias"))
     close = similar(by_title.select("title").union(by_alias.select("title")).distinct(), listed, least).select("wanted", F.col("title").alias("similar"))

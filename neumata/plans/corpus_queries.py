@@ -27,7 +27,8 @@ def group_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SONGS_SQL}, heat AS (SELECT name, count(*) AS heat FROM (SELECT unnest(list_distinct([site, lang])) AS name FROM songs) GROUP BY name)
 SELECT song_id, greatest(a.heat, b.heat) AS hot FROM songs JOIN heat a ON a.name = site JOIN heat b ON b.name = lang""")
 def name_hotness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.annotate(songs(spark, sf_dir)).select("song_id", "hot")
+    every = songs(spark, sf_dir)
+    return search.annotate(every.select("song_id", "title", "site", "lang"), every).select("song_id", "hot")
 
 
 @query(f"WITH {SONGS_SQL} SELECT title, count(*) AS n, count(DISTINCT site) AS sites FROM songs GROUP BY title")

@@ -189,14 +189,13 @@ def levenshtein_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return songs(spark, sf_dir).select("song_id", F.levenshtein("digits", F.lit(QUERY)).alias("edits"), F.length("digits").alias("n_notes"))
 
 
-PLACED_SQL = f"""tied AS (SELECT song_id, diff, unnest(range(length(digits) - {len(QUERY) - 1})) AS pos, digits FROM hits JOIN songs USING (song_id)
-), weighed AS (SELECT song_id, diff, pos, greatest({section_weight_sql('pos')}, {section_weight_sql(f'(pos + {len(QUERY) - 1})')}) AS sec_w
-    FROM tied WHERE hamming(substr(digits, pos + 1, {len(QUERY)}), '{QUERY}') = diff
-), placed AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY song_id ORDER BY sec_w DESC, pos) = 1)"""
+PLACED_SQL = f"""weighed AS MATERIALIZED (SELECT w.song_id, h.diff, w.pos, greatest({section_weight_sql('w.pos')}, {section_weight_sql(f'(w.pos + {len(QUERY) - 1})')}) AS sec_w
+    FROM windows w JOIN hits h ON h.song_id = w.song_id WHERE hamming(w.w, '{QUERY}') = h.diff
+), placed AS MATERIALIZED (SELECT song_id, diff, arg_min(pos, (-sec_w, pos)) AS pos, max(sec_w) AS sec_w FROM weighed GROUP BY 1, 2)"""
 RANKED_SQL = f"""{BEST_SQL}, {PLACED_SQL}, pops AS (SELECT title, count(*) AS pop FROM songs GROUP BY title), heat AS (
     SELECT name, count(*) AS heat FROM (SELECT unnest(list_distinct([site, lang])) AS name FROM songs) GROUP BY name
 ), rows AS (SELECT s.song_id, title, diff, pos, pop, greatest(a.heat, b.heat) AS hot, sec_w, length(digits) AS n_notes, digits
-    FROM placed h JOIN songs s USING (song_id) JOIN pops USING (title) JOIN heat a ON a.name = site JOIN heat b ON b.name = lang
+    FROM placed h JOIN songs s ON h.song_id = s.song_id JOIN pops USING (title) JOIN heat a ON a.name = site JOIN heat b ON b.name = lang
 ), top AS (SELECT row_number() OVER (ORDER BY diff, pop DESC, hot DESC, sec_w DESC, n_notes, title, song_id) AS rank, * FROM rows ORDER BY rank LIMIT 20)"""
 
 

@@ -1,11 +1,14 @@
 """Known answers of the functions and operators."""
 
+import random
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from neumata.functions import melody, titles
+from neumata.functions import melody, naming, titles
 from neumata.functions import tokens as T
 from neumata.operators import corpus, notation, search
 from neumata.sources import corpus_files, music_files
@@ -53,6 +56,140 @@ def test_metre(spark):
 def test_bars(spark):
     assert value(spark, notation.bar_starts(F.lit("c0 q0 q3 q3 q5 | c6. q1"), 4.0)) == [3]
     assert value(spark, notation.bar_starts(F.lit("1 2 3 4 5"), 2.0)) == [2, 4]
+    assert value(spark, notation.bar_starts(F.lit("1. 1. 1. 1."), 2.0)) == [2, 4]
+    assert value(spark, notation.bar_starts(F.lit("1 ~ 1 2 3 4"), 2.0)) == [1, 3]
+    assert value(spark, notation.bar_starts(F.lit("0 0 0 0 1 2"), 4.0)) == [0]
+    assert value(spark, notation.bar_starts(F.lit("3[ q1 q2 q3 ] 4 5 6"), 2.0)) == [4, 6]
+
+
+def plain_bars(score, per_bar):
+    """Bars from a list of events: (kind, number of pitched notes, first and last pitch, beats)."""
+    length = {"q": 0.5, "s": 0.25, "d": 0.125, "h": 0.0625}
+    out, index, beats, tie, sounded, last = [], 0, 0.0, False, False, None
+    for token in score.split():
+        if token == "~":
+            tie = sounded
+            continue
+        m = re.fullmatch("([qsdh]?)([,']?)([#b]?)([0-7])(\\.?)", token)
+        pitch = None if m[4] == "0" else (m[4], m[3])
+        if pitch and not (tie and index and pitch == last):
+            index += 1
+        last = pitch or last
+        beats += length.get(m[1], 1.0) * (1.5 if m[5] else 1)
+        tie, sounded = False, pitch is not None
+        if beats >= per_bar - 1e-9:
+            out += [index] if not out or out[-1] != index else []
+            beats = 0.0
+    return out
+
+
+def test_rebar_query(spark):
+    from neumata.plans import QUERIES, base
+
+    sf = "/root/testdata/sf0.001"
+    scores = {r.song_id: r.score for r in base.scores(spark, sf).collect()}
+    got = {r.song_id: r.bars for r in QUERIES["rebar_fold"](spark, sf).collect()}
+    assert got == {k: plain_bars(s, 2.0) for k, s in scores.items()}
+
+
+@pytest.mark.parametrize(
+    "first, second, at",
+    [([0], [100], None), ([0], [3], [0, 3]), ([0, 50], [3, 53], [0, 3]), ([0], [(3, 1), (5, 0)], [0, 5]), ([5], [3], None), ([0], [11], None), ([0], [10], [0, 10])],
+)
+def test_alignment(spark, first, second, at):
+    places = lambda x: F.array(*(F.struct(F.lit(p if isinstance(p, int) else p[0]).alias("pos"), F.lit(0 if isinstance(p, int) else p[1]).alias("diff")) for p in x))
+    got = value(spark, melody.aligned(["12", "34"], [places(first), places(second)]))
+    assert (got and got["at"]) == at
+
+
+def test_snippet(spark):
+    notes, bars = F.array(*map(F.lit, "1234567123")), F.array(F.lit(4), F.lit(8))
+    assert value(spark, melody.snippet(notes, bars, F.lit(3), 2)) == "1 2 3 【4 | 5】 6 7 1"
+    assert tuple(value(spark, melody.bar_span(bars, F.lit(3), 2))) == (0, 8, 1, 1)
+    assert value(spark, melody.snippet(notes, bars, F.lit(9), 3)) == ""
+
+
+def test_longest_shared():
+    import difflib
+
+    rng = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(rng.choices("123", k=rng.randint(0, 50))) for _ in range(2))
+        size = difflib.SequenceMatcher(None, a, b, autojunk=False).find_longest_match(0, len(a), 0, len(b)).size
+        n, i, j = melody.longest_shared(a, b, 3)
+        assert n == (size if size >= 3 else 0) and a[i : i + n] == b[j : j + n]
+
+
+def test_clone_links_are_complete(spark):
+    rng = random.Random(6)
+    text = lambda n: "".join(rng.choices("1234567", k=n))
+    a, b, passage = text(23), text(23), text(40)
+    songs = [a, b, a + "1" + b, b + "2" + a, a + "1" + b, "1" * 200, "1" * 90, text(60)] + [text(10) + passage + text(10) for _ in range(6)]
+    table = spark.createDataFrame(list(enumerate(songs)), "song_id long, digits string")
+    grams = [{s[i : i + 14] for i in range(len(s) - 13)} for s in songs]
+    shared = {(i, j): len(grams[i] & grams[j]) for i in range(len(songs)) for j in range(i) if len(grams[i] & grams[j]) >= 12}
+    links = {(r.a, r.b): r.shared for r in search.clone_links(spark, table, 14, 12).collect()}
+    assert links.items() <= shared.items()
+
+    def classes(pairs):
+        label = list(range(len(songs)))
+        for _ in songs:
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    assert classes(links) == classes(shared)
+
+
+@pytest.mark.parametrize(
+    "name, title",
+    [("问候歌简谱_儿歌演唱-简谱", "问候歌"), ("10信念", "信念"), ("1874", "1874"), ("GoodMorningGood_Morning", "GoodMorning"), ("Honey Honey", "Honey Honey"), ("歌（伴奏）__sitea-12", "歌"), ("__sitea-12", "未命名-sitea-12")],
+)
+def test_title_of(spark, name, title):
+    assert value(spark, naming.title_of(F.lit(name))) == title
+
+
+def test_repaired_text(spark):
+    for text in ("草原的歌", "é", "abc", ""):
+        assert value(spark, naming.repaired(F.lit(text))) == text
+        assert value(spark, naming.repaired(F.lit(text.encode().decode("latin-1")))) == text
+    broken = ("草原".encode()[:-1] + b"_").decode("latin-1")
+    assert value(spark, naming.repaired(F.lit(broken))) == "草_"
+
+
+def test_coverage_verdict_compares_all_pairs(spark):
+    import difflib
+
+    from neumata.plans import QUERIES
+
+    import duckdb
+
+    sf = "/root/testdata/sf0.01"
+    part = duckdb.sql(f"SELECT p_partkey, p_name, p_type, p_size FROM '{sf}/part.parquet'").fetchall()
+    norm = lambda s: re.sub(r"[\s\-_.,]+", "", s).lower()
+    same = lambda a, b: a == b or ((a in b or b in a) and min(len(a), len(b)) >= 4 and 2 * min(len(a), len(b)) >= max(len(a), len(b)))
+    songs = [(norm(n), norm(t), s) for k, n, t, s in part if k % 7]
+
+    def similar(a, b):
+        r = difflib.SequenceMatcher(None, b, a, autojunk=False).ratio()
+        return max(r, 0.75) if min(len(a), len(b)) >= 3 and (a in b or b in a) else r
+
+    got = {r.p_partkey: r.verdict for r in QUERIES["coverage_verdict"](spark, sf).collect()}
+    for k, name, kind, _ in part:
+        if k % 100:
+            continue
+        want = norm(kind if k % 300 == 0 else name[::-1] if k % 200 == 0 else name)
+        hits = [s for s in songs if same(s[0], want)] 
+        longest = {}
+        for t, _, n in songs:
+            longest[t] = max(n, longest.get(t, 0))
+        if hits:
+            expected = "hit" if any(longest[t] >= 11 for t, *_ in hits) else "too short"
+        elif any(same(s[1], want) for s in songs):
+            expected = "alias"
+        else:
+            expected = "similar" if max(similar(want, x) for s in songs for x in s[:2]) >= 0.60 else "missing"
+        assert got[k] == expected
 
 
 @pytest.mark.parametrize("text, query, best", [("12345", "123", (0, 0)), ("5565321", "123", (2, 2)), ("777", "123", (3, 0)), ("5565321", "565", (0, 1)), ("77", "123", None)])
@@ -100,7 +237,7 @@ def test_shared_runs(spark):
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "song_id int, digits string, site string, lang string, title string")
-    assert search.scan(none, "123").count() == search.clone_links(none, 3, 1).count() == search.annotate(none).count() == 0
+    assert search.scan(none, "123").count() == search.clone_links(spark, none, 3, 1).count() == search.annotate(none, none).count() == 0
     assert corpus.rule_counts(none, {"x": F.col("digits") != ""}).collect()[0].n == 0
 
 
