@@ -128,6 +128,21 @@ def longest_shared(a: str, b: str, least: int) -> tuple[int, int, int]:
     return best
 
 
+def repeat_profile(texts: pd.Series, n: int) -> pd.DataFrame:
+    """most, repeated: how often the most repeated window of n symbols comes again, and how many symbols lie in a repeated one."""
+    rows = []
+    for text in texts:
+        x = np.frombuffer(text.encode(), np.uint8).astype(np.int64) - 48
+        codes = sum(x[k : len(x) - n + 1 + k] * 8**k for k in range(n))
+        _, at, counts = np.unique(codes, return_inverse=True, return_counts=True)
+        again = counts[at] - 1
+        change = np.zeros(len(x) + 1, np.int64)
+        np.add.at(change, np.flatnonzero(again), 1)
+        np.add.at(change, np.flatnonzero(again) + n, -1)
+        rows.append((int(again.max()), int((np.cumsum(change)[:-1] > 0).sum())))
+    return pd.DataFrame(rows, columns=["most", "repeated"])
+
+
 def near_windows(symbols: Column, query: str, most: int) -> Column:
     """array of struct(pos, diff): all windows within ``most`` differing symbols, in order."""
     code = np.frombuffer(query.encode(), np.uint8)

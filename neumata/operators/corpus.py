@@ -170,3 +170,35 @@ def spelled(names: DataFrame, known: DataFrame, few: int) -> DataFrame:
     direct = names.join(known, F.lower("name") == F.col("key"), "left").drop("key")
     within = F.array_min(F.array_compact(F.array(*(F.when(F.lower("name").contains(r["key"]), F.lit(r["spelling"])) for r in listed), F.lit(None).cast("string"))))
     return direct.withColumn("artist", F.coalesce("spelling", within)).drop("spelling")
+
+
+def nearest_ranks(counts: DataFrame, key: str, value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(key, one column per rank): the value at each 1-based rank of its group, where ``counts`` has k rows of each value.
+
+    The window runs over different values, whose running counts place the ranks.
+    """
+    w = Window.partitionBy(key).orderBy(value)
+    all_ = F.sum("k").over(Window.partitionBy(key))
+    placed = counts.withColumns({"upto": F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0)), "all": all_})
+    return placed.groupBy(key).agg(*(F.min(F.when(F.col("upto") >= rank(F.col("all")), F.col(value))).alias(name) for name, rank in ranks.items()))
+
+
+def field_profile(rows: DataFrame) -> DataFrame:
+    """(field, present, filled, n): non-null and non-empty values of every column, in one pass."""
+    texts = {f.name for f in rows.schema if f.dataType.typeName() == "string"}
+    filled = lambda c: F.nullif(F.col(c), F.lit("")) if c in texts else F.col(c)
+    sums = rows.agg(F.count("*").alias("n"), *(f for k, c in enumerate(rows.columns) for f in (F.count(c).alias(f"p{k}"), F.count(filled(c)).alias(f"f{k}"))))
+    each = F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"p{k}").alias("present"), F.col(f"f{k}").alias("filled")) for k, c in enumerate(rows.columns)))
+    return sums.select(F.explode(each).alias("x"), "n").select("x.*", "n")
+
+
+def numbered_within(rows: DataFrame, keys: list[str], order: str, ranges: int = 4096) -> DataFrame:
+    """``rows`` with nth, 1-based in each key's order of a number column: counted within ranges of the number plus the totals of the
+    ranges before, so that a key with any share of the rows is spread over tasks."""
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    width = max(1, ((high or 0) - (low or 0)) // ranges + 1)
+    ranged = rows.withColumn("range", F.expr(f"({order} - {low or 0}) div {width}"))
+    totals = ranged.groupBy(*keys, "range").agg(F.count("*").alias("k"))
+    before = totals.withColumn("before", F.sum("k").over(Window.partitionBy(*keys).orderBy("range")) - F.col("k")).drop("k")
+    nth = F.row_number().over(Window.partitionBy(*keys, "range").orderBy(order)) + F.col("before")
+    return ranged.join(before, [*keys, "range"]).withColumn("nth", nth).drop("range", "before")

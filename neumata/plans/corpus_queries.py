@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neumata.functions import titles, tokens as T
@@ -128,10 +128,9 @@ def bag_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT p_partkey, p_brand || CASE WHEN k > 1 THEN '_' || k ELSE '' END AS name FROM (
     SELECT p_partkey, p_brand, row_number() OVER (PARTITION BY p_brand, p_size ORDER BY p_partkey) AS k FROM part)""")
 def collision_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    k = F.row_number().over(Window.partitionBy("p_brand", "p_size").orderBy("p_partkey"))
-    return table(spark, sf_dir, "part").withColumn("k", k).select(
-        "p_partkey", F.concat("p_brand", F.when(F.col("k") > 1, F.concat(F.lit("_"), F.col("k").cast("string"))).otherwise("")).alias("name")
-    )
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    suffix = F.when(F.col("nth") > 1, F.concat(F.lit("_"), F.col("nth").cast("string"))).otherwise("")
+    return corpus.numbered_within(rows, ["p_brand", "p_size"], "p_partkey").select("p_partkey", F.concat("p_brand", suffix).alias("name"))
 
 
 @query(r"""SELECT page_id, trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages""")
