@@ -197,3 +197,22 @@ def clone_links(spark: SparkSession, songs: DataFrame, n: int, least: int) -> Da
 
     linked = crowds.union(shared(pairs, small).where(F.col("shared") >= least).select("a", "b")).distinct()
     return equal.unionByName(shared(keep(linked, "linked"), named))
+
+
+#: Counts up when windows of the same songs would come out otherwise.
+INDEX_VERSION = 1
+
+
+def window_index(songs: DataFrame, path: str, n: int) -> DataFrame:
+    """(song_id, pos, gram): all windows of n symbols, from ``path`` if they were stored for these songs, stored there otherwise.
+
+    The folder's name tells songs, n and version apart. Rows are in ranges of grams, so that a search for a few
+    reads only the files and row groups that may hold them.
+    """
+    spark = songs.sparkSession
+    n_songs, digest = songs.agg(F.count("*"), F.bit_xor(F.xxhash64("song_id", "digits"))).first()
+    folder_ = f"{path}/v{INDEX_VERSION}-n{n}-{n_songs}-{(digest or 0) % (1 << 64):016x}"
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder_}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        numbered_grams(songs, n).repartitionByRange("gram").sortWithinPartitions("gram").write.mode("overwrite").parquet(folder_)
+    return spark.read.schema("song_id long, pos int, gram long").parquet(folder_)

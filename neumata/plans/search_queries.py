@@ -71,9 +71,13 @@ def acc_cost_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notes.select("song_id", best.alias("b")).where("b IS NOT NULL").select("song_id", F.col("b.diff").alias("cost"), "b.pos")
 
 
-@query(f"""WITH {SONGS_SQL}, variants AS (SELECT unnest({melody.deletion_variants(SHORT)}) AS v), windows AS (
-    SELECT song_id, v, pos, substr(digits, pos + 1, length(v)) AS w FROM (SELECT song_id, digits, v, unnest(range(length(digits) - length(v) + 1)) AS pos FROM songs, variants WHERE length(digits) >= length(v)))
-SELECT song_id, CAST(min(hamming(w, v)) AS INT) AS diff, CAST(min(hamming(w, v) * 100000000 + pos) % 100000000 AS INT) AS pos FROM windows GROUP BY song_id""")
+LESS_ONE_SQL = ", ".join(f"hamming(left(w, {len(SHORT) - 1}), '{v}')" for v in melody.deletion_variants(SHORT)[1:])
+
+
+@query(f"""WITH {SONGS_SQL}, windows AS (SELECT song_id, pos, substr(digits, pos + 1, {len(SHORT)}) AS w FROM (
+    SELECT song_id, digits, unnest(range(length(digits) - {len(SHORT) - 2})) AS pos FROM songs WHERE length(digits) >= {len(SHORT) - 1})
+), costs AS (SELECT song_id, pos, least({LESS_ONE_SQL}, CASE WHEN length(w) = {len(SHORT)} THEN hamming(rpad(w, {len(SHORT)}, '0'), '{SHORT}') ELSE 99 END) AS diff FROM windows)
+SELECT song_id, CAST(min(diff) AS INT) AS diff, CAST(min(diff * 100000000 + pos) % 100000000 AS INT) AS pos FROM costs GROUP BY song_id""")
 def indel_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best window over the query and all its single deletions."""
     return search.scan(songs(spark, sf_dir), melody.deletion_variants(SHORT)).drop("at")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SONG = """file array<string>, title string, artist array<string>, status string, n_notes int, bars array<int>, beats_per_bar double,
@@ -94,3 +94,22 @@ def image_pages(files: DataFrame) -> DataFrame:
     names = ["batch", "title", "site", "ident", "name"]
     rows = files.select(*(g.alias(n) for g, n in zip(got, names, strict=True))).where("site <> ''")
     return rows.where(~F.col("name").contains("__pg") & ~F.col("name").contains("_strip_")).groupBy(*names[:4]).agg(F.count("*").alias("pages"))
+
+
+def write_report(rows: DataFrame, path: str) -> None:
+    """A report as tab-separated files with a header line; lists are comma-joined."""
+    flat = [F.array_join(c.name, ",").alias(c.name) if c.dataType.typeName() == "array" else F.col(c.name) for c in rows.schema]
+    rows.select(*flat).write.mode("overwrite").csv(path, sep="\t", header=True)
+
+
+def write_by(songs: DataFrame, path: str, attribute: str) -> None:
+    """Songs as a table with a folder for each value of an attribute, for searches that name one; a list counts for each of its values."""
+    many = songs.schema[attribute].dataType.typeName() == "array"
+    key = F.explode_outer(attribute) if many else F.col(attribute)
+    songs.withColumn(f"by_{attribute}", key).write.mode("overwrite").partitionBy(f"by_{attribute}").parquet(path)
+
+
+def decoded(data: Column, charset: str = "gb18030") -> Column:
+    """Bytes of a page as text: by UTF-8 if they are, else by the site's own charset."""
+    text = F.try_validate_utf8(data.cast("string"))
+    return F.coalesce(text, F.decode(F.when(text.isNull(), data), charset))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from neumata.functions import melody, naming, titles
 from neumata.functions import tokens as T
-from neumata.operators import corpus, notation, search
+from neumata.operators import corpus, notation, records, search
 from neumata.sources import corpus_files, music_files
 from neumata.streaming import ledger
 
@@ -297,3 +297,106 @@ def test_fill_and_budget(spark):
     assert [r.v for r in notation.fill_forward(rows, "v", ["k"], ["i"]).orderBy("k", "i").collect()] == ["a", "a", "b", None]
     kept = corpus.within_budget(spark.createDataFrame([(1, 1, 5), (1, 2, 5), (1, 3, 5)], "k int, t int, s int"), ["k"], "s", [F.desc("t")], 10)
     assert {r.t for r in kept.where("kept").collect()} == {2, 3}
+
+
+def plain_written_beats(token):
+    if token == "|":
+        return 0.0
+    if token in ("-", "."):
+        return 1.0
+    m = re.fullmatch(r"[#b',]*([qsdh]?)[#b',]*[0-7]([.,'\-]*)", token)
+    if not m:
+        return 0.0
+    base = {"q": 0.5, "s": 0.25, "d": 0.125, "h": 0.0625}.get(m[1], 1.0)
+    return base * (2 - 0.5 ** m[2].count(".")) + m[2].count("-")
+
+
+def test_rebarring(spark):
+    from neumata.plans import QUERIES, base
+
+    assert [value(spark, records.written_beats(F.lit(t))) for t in ("5..", "q3", "2-", "-", "|", "q,5", ",q5.", "x")] == [1.75, 0.5, 2.0, 1.0, 0.0, 0.5, 0.75, 0.0]
+    assert value(spark, records.rests_for(F.lit(2.75))) == ["0", "0", "q0", "s0"]
+    sf = "/root/testdata/sf0.001"
+    given = {}
+    for r in base.tokens(spark, sf).collect():
+        given.setdefault(r.song_id, []).append((r.idx, r.token))
+    for r in QUERIES["rebarred_scores"](spark, sf).collect():
+        bars, now, beats = [], [], 0.0
+        for _, token in sorted(given[r.song_id]):
+            b = plain_written_beats(token)
+            if now and beats + b > 3.001:
+                bars.append((now, beats))
+                now, beats = [], 0.0
+            now, beats = [*now, token], beats + b
+        bars.append((now, beats))
+        assert [b[: len(n)] for b, (n, _) in zip(r.bars, bars, strict=True)] == [n for n, _ in bars]
+        for full, (n, beats) in zip(r.bars, bars, strict=True):
+            rest = sum(plain_written_beats(t) for t in full[len(n) :])
+            assert all(t.endswith("0") for t in full[len(n) :]) and abs(rest - max(0, 3 - beats)) < 1 / 16
+
+
+def test_onset_groups(spark):
+    from neumata.plans import QUERIES
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    rows = {}
+    for k, i, g in duckdb.sql(f"SELECT l_orderkey, l_linenumber, l_partkey % 7 FROM '{sf}/lineitem.parquet'").fetchall():
+        rows.setdefault(k, []).append((i, g))
+    for r in QUERIES["onset_groups"](spark, sf).collect():
+        now, start, sizes = 0, None, []
+        for _, gap in sorted(rows[r.l_orderkey]):
+            now += gap
+            if start is None or now - start > 3:
+                start = now
+                sizes.append(0)
+            sizes[-1] += 1
+        assert (r.groups, r.most) == (len(sizes), max(sizes))
+
+
+@pytest.mark.parametrize("token, lowered", [("6", ",6"), ("6'", "6"), ("6''", "6'"), ("6,", ",,6"), ("q6.", "q,6."), ("5", "5"), ("#6", "#6")])
+def test_minor_tonic(spark, token, lowered):
+    assert value(spark, records.minor_lowered(F.lit(token))) == lowered
+
+
+@pytest.mark.parametrize("token, after", [("'1", "1'"), (",6", ",6"), ("q'1.", "q1'."), ("''5", "5''"), ("~", "~")])
+def test_high_marks_go_behind(spark, token, after):
+    assert value(spark, records.high_after(F.lit(token))) == after
+
+
+def test_numbering_of_a_hot_key(spark):
+    rows = [("a", k) for k in range(300)] + [("b", 5), ("b", 2)]
+    got = corpus.numbered_within(spark.createDataFrame(rows, "key string, n long").repartition(4), ["key"], "n", ranges=16).collect()
+    assert {(r.key, r.n): r.nth for r in got} == {**{("a", k): k + 1 for k in range(300)}, ("b", 2): 1, ("b", 5): 2}
+
+
+def test_first_of_each_and_tags(spark):
+    rows = spark.createDataFrame([(k % 2, 100 - k) for k in range(60)], "key long, v long")
+    got = records.first_of_each(rows, ["key"], ["v"], 3).collect()
+    assert sorted((r.key, r.v) for r in got) == [(0, 42), (0, 44), (0, 46), (1, 41), (1, 43), (1, 45)]
+    tags = lambda *t: F.array(*map(F.lit, t))
+    assert value(spark, records.implied_tags(tags("ballad", "!pop"), {"ballad": ["pop", "song"]})) == ["song"]
+    assert value(spark, records.implied_tags(tags("ballad", "live"), {"ballad": ["pop", "song"]})) == ["ballad", "pop", "song", "live"]
+
+
+def test_window_index_is_stored_once(spark, tmp_path):
+    songs = spark.createDataFrame([(1, "1234123"), (2, "7771234")], "song_id long, digits string")
+    first = search.window_index(songs, str(tmp_path / "windows"), 4)
+    stored = sorted((tmp_path / "windows").rglob("*.parquet"))
+    times = [p.stat().st_mtime_ns for p in stored]
+    again = search.window_index(songs, str(tmp_path / "windows"), 4)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, again.collect())) and len(first.collect()) == 8
+    assert [p.stat().st_mtime_ns for p in sorted((tmp_path / "windows").rglob("*.parquet"))] == times
+    search.window_index(songs.where("song_id = 1"), str(tmp_path / "windows"), 4)
+    assert len(list((tmp_path / "windows").iterdir())) == 2
+
+
+def test_sinks_and_decoding(spark, tmp_path):
+    rows = spark.createDataFrame([("a", ["x", "y"], 1), ("b", [], 2)], "title string, tag array<string>, n int")
+    corpus_files.write_report(rows, str(tmp_path / "report"))
+    back = spark.read.csv(str(tmp_path / "report"), sep="\t", header=True).collect()
+    assert {(r.title, r.tag or "", r.n) for r in back} == {("a", "x,y", "1"), ("b", "", "2")}
+    corpus_files.write_by(rows, str(tmp_path / "by"), "tag")
+    assert sorted((r.title, r.by_tag) for r in spark.read.parquet(str(tmp_path / "by")).where("by_tag IS NOT NULL").collect()) == [("a", "x"), ("a", "y")]
+    pages = spark.createDataFrame([(bytearray("简谱".encode()),), (bytearray("简谱".encode("gb18030")),)], "data binary")
+    assert [r.t for r in pages.select(corpus_files.decoded(F.col("data")).alias("t")).collect()] == ["简谱", "简谱"]
