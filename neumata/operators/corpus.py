@@ -54,25 +54,60 @@ def bag_overlap(a: Column, b: Column) -> Column:
     return sum((F.least(count(a, d), count(b, d)) for d in range(1, 8)), F.lit(0))
 
 
-def within_budget(rows: DataFrame, keys: list[str], size: str, newest: list, budget: int) -> DataFrame:
-    """``rows`` with kept: whether the newest rows of the group, up to and including this one, fit into ``budget``."""
-    w = Window.partitionBy(*keys).orderBy(*newest).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("kept", F.sum(size).over(w) <= budget)
+def in_ranges(rows: DataFrame, at: str, ranges: int = 1024) -> DataFrame:
+    """``rows`` with range, equal parts of the span of a number or time column. Ordered work is done within (key, range), with what the
+    ranges before leave over, so that a key with any share of the rows is spread over tasks."""
+    low, high = rows.agg(F.min(F.col(at).cast("double")), F.max(F.col(at).cast("double"))).first()
+    width = max(((high or 0.0) - (low or 0.0)) / ranges, 1e-6)
+    return rows.withColumn("range", F.coalesce(F.floor((F.col(at).cast("double") - (low or 0.0)) / width), F.lit(-1)))
 
 
-def as_of(rows: DataFrame, value: Column, keys: list[str], order: list[str]) -> Column:
-    """The last non-null ``value`` at or before each row of its group: an as-of join of two streams in one table, one shuffle."""
-    return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+def carried(ranged: DataFrame, key: str, total: Column, carry: Callable[[Column], Column], backward: bool = False) -> DataFrame:
+    """``ranged`` with before: ``carry`` of the ``total`` of each earlier range of the key (later ones if ``backward``); null in the first."""
+    order = F.desc("range") if backward else F.col("range")
+    ends = ranged.groupBy(key, "range").agg(total.alias("total"))
+    before = carry(F.col("total")).over(Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(F.col(key).alias("of_key"), F.col("range").alias("of_range"), before.alias("before"))
+    return ranged.join(ends, F.col(key).eqNullSafe(F.col("of_key")) & (F.col("range") == F.col("of_range"))).drop("of_key", "of_range")
+
+
+def within_budget(rows: DataFrame, key: str, size: str, at: str, tie: str, budget: int) -> DataFrame:
+    """``rows`` with kept: whether the newest rows of the key, up to and including this one, fit into ``budget``."""
+    ranged = carried(in_ranges(rows, at), key, F.sum(size), F.sum, backward=True)
+    newest = Window.partitionBy(key, "range").orderBy(F.desc(at), F.desc(tie)).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.withColumn("kept", F.sum(size).over(newest) + F.coalesce("before", F.lit(0)) <= budget).select(*rows.columns, "kept")
+
+
+def as_of(rows: DataFrame, value: Column, key: str, at: str, tie: str, name: str) -> DataFrame:
+    """``rows`` with the last non-null ``value`` at or before each row of its key: an as-of join of two streams in one table."""
+    held = rows.withColumn(name, value)
+    last = F.max(F.when(F.col(name).isNotNull(), F.struct(at, tie, name)))
+    ranged = carried(in_ranges(held, at), key, last, lambda t: F.last(t, ignorenulls=True))
+    here = F.last(name, ignorenulls=True).over(Window.partitionBy(key, "range").orderBy(at, tie).rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.withColumn("here", here).select(*rows.columns, F.coalesce("here", F.col("before")[name]).alias(name))
 
 
 def sessions(rows: DataFrame, key: str, at: str, tie: str, gap_s: int) -> DataFrame:
     """(key, session, n, first_at, last_at): runs of rows of a key with no gap over ``gap_s`` seconds; sessions count from 1."""
-    w = Window.partitionBy(key).orderBy(at, tie)
-    new = F.coalesce(F.col(at).cast("double") - F.lag(at).over(w).cast("double") > gap_s, F.lit(True))
-    numbered = rows.withColumn("new", new.cast("long")).withColumn("session", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ranged = carried(in_ranges(rows.select(key, at, tie), at), key, F.max(at), F.max)
+    w = Window.partitionBy(key, "range").orderBy(at, tie)
+    gap = F.col(at).cast("double") - F.coalesce(F.lag(at).over(w), F.col("before")).cast("double")
+    marked = ranged.withColumn("new", F.coalesce(gap > gap_s, F.lit(True)).cast("long")).drop("before")
+    counted = carried(marked, key, F.sum("new"), F.sum)
+    session = F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.coalesce("before", F.lit(0))
+    numbered = counted.withColumn("session", session)
     return numbered.groupBy(key, "session").agg(F.count("*").alias("n"), F.min(at).alias("first_at"), F.max(at).alias("last_at"))
 
 
+def monophony(spans: DataFrame, key: str, tie: str) -> DataFrame:
+    """(key, n, mono): the share of spans (a, b) that begin after all earlier ones of their key have ended."""
+    ranged = carried(in_ranges(spans, "a"), key, F.max("b"), F.max)
+    w = Window.partitionBy(key, "range").orderBy("a", tie).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.greatest(F.max("b").over(w), F.col("before"))
+    rows = ranged.withColumn("alone", F.when(F.coalesce(earlier > F.col("a"), F.lit(False)), 0.0).otherwise(1.0))
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.round(F.avg("alone"), 6).alias("mono"))
+
+
 def blank_filled(rows: DataFrame, found: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``rows`` whose null or empty ``columns`` are taken from ``found``; what is there already stays."""
     other = found.select(key, *(F.col(c).alias(f"found_{c}") for c in columns))

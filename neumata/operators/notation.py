@@ -112,11 +112,3 @@ def infer_key(weighed: DataFrame, key: str) -> DataFrame:
             r = F.when(spread > 0, F.round(dot / (spread * size), 6))
             rated.append(F.struct((-r).alias("less"), F.lit(tonic).alias("tonic"), F.lit(minor).alias("minor")))
     return bags.select(key, F.array_min(F.array(*rated)).alias("b")).select(key, "b.tonic", "b.minor", (-F.col("b.less")).alias("r"))
-
-
-def monophony(spans: DataFrame, key: str, tie: str) -> DataFrame:
-    """(key, n, mono): the share of spans (a, b) that begin after all earlier ones of their group have ended."""
-    w = Window.partitionBy(key).orderBy("a", tie).rowsBetween(Window.unboundedPreceding, -1)
-    overlaps = F.coalesce(F.max("b").over(w) > F.col("a"), F.lit(False))
-    rows = spans.withColumn("alone", F.when(overlaps, 0.0).otherwise(1.0))
-    return rows.groupBy(key).agg(F.count("*").alias("n"), F.round(F.avg("alone"), 6).alias("mono"))

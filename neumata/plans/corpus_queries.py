@@ -51,7 +51,7 @@ def section_weight_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bar_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     view = F.when(F.col("event_type") == "view", F.col("event_id"))
-    return rows.select("event_id", corpus.as_of(rows, view, ["user_id"], ["ts", "event_id"]).alias("last_view"))
+    return corpus.as_of(rows.withColumn("ts", F.col("ts").cast("timestamp")), view, "user_id", "ts", "event_id", "last_view").select("event_id", "last_view")
 
 
 @query(r"""WITH counted AS (SELECT doc_id, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\r]+'), lambda w: w <> '')) AS n,
@@ -229,8 +229,8 @@ def backlog_yield(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_id, sum(CAST(floor(value) AS BIGINT)) OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC ROWS UNBOUNDED PRECEDING) <= 500 AS kept FROM events WHERE value IS NOT NULL""")
 def retention_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "events").where("value IS NOT NULL").select("event_id", "user_id", "ts", F.floor("value").alias("size"))
-    return corpus.within_budget(rows, ["user_id"], "size", [F.desc("ts"), F.desc("event_id")], 500).select("event_id", "kept")
+    rows = table(spark, sf_dir, "events").where("value IS NOT NULL").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), F.floor("value").alias("size"))
+    return corpus.within_budget(rows, "user_id", "size", "ts", "event_id", 500).select("event_id", "kept")
 
 
 @query("""WITH o AS (SELECT user_id, event_id, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events),

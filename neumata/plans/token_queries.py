@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from neumata.functions import melody, tokens as T
-from neumata.operators import notation
+from neumata.operators import corpus, notation
 from neumata.plans.base import DIGITS_SQL, SONGS_SQL, TOKENS_SQL, query, scores, songs, table, tokens
 
 
@@ -127,4 +127,4 @@ SELECT user_id, count(*) AS n, round(avg(CASE WHEN meets THEN 0.0 ELSE 1.0 END),
 def mono_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.unix_micros(F.col("ts").cast("timestamp"))
     spans = table(spark, sf_dir, "events").where("value IS NOT NULL").select("user_id", "event_id", start.alias("a"), (start + F.floor(F.col("value") * 1000000).cast("long") * 60).alias("b"))
-    return notation.monophony(spans, "user_id", "event_id")
+    return corpus.monophony(spans, "user_id", "event_id")

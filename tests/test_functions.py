@@ -295,7 +295,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 def test_fill_and_budget(spark):
     rows = spark.createDataFrame([(1, 1, "a"), (1, 2, ""), (1, 3, "b"), (2, 1, "")], "k int, i int, v string")
     assert [r.v for r in notation.fill_forward(rows, "v", ["k"], ["i"]).orderBy("k", "i").collect()] == ["a", "a", "b", None]
-    kept = corpus.within_budget(spark.createDataFrame([(1, 1, 5), (1, 2, 5), (1, 3, 5)], "k int, t int, s int"), ["k"], "s", [F.desc("t")], 10)
+    kept = corpus.within_budget(spark.createDataFrame([(1, 1, 5), (1, 2, 5), (1, 3, 5)], "k int, t int, s int"), "k", "s", "t", "t", 10)
     assert {r.t for r in kept.where("kept").collect()} == {2, 3}
 
 
