@@ -105,18 +105,21 @@ def _window_hashes(sums: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
     return (sums[n:] - sums[:-n]) * inverse[: len(sums) - n]
 
 
-def longest_shared(a: str, b: str, least: int) -> tuple[int, int, int]:
+def longest_shared(a: str, b: str, least: int, guess: int | None = None) -> tuple[int, int, int]:
     """(length, start in a, start in b) of the longest common substring, the first of equals; zeros if it is shorter than ``least``.
 
-    The length is found by bisection: two strings share a substring of n symbols if they share one of n + 1. Windows
-    are compared by polynomial hashes modulo 2 ** 64, from prefix sums; what is found is compared itself.
+    The length is found by bisection: two strings share a substring of n symbols if they share one of n + 1. A ``guess``
+    is tried first, and then one symbol more. Windows are compared by polynomial hashes modulo 2 ** 64, from prefix
+    sums; what is found is compared itself.
     """
     size = max(len(a), len(b))
     power, inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, base, np.uint64)]) for base in (BASE, INVERSE))
     sums = [np.r_[np.uint64(0), np.cumsum(np.frombuffer(t.encode(), np.uint8) * power[: len(t)], dtype=np.uint64)] for t in (a, b)]
     low, high, best = least, min(len(a), len(b)), (0, 0, 0)
+    first = [] if guess is None else [guess + 1, guess]
     while low <= high:
-        n = (low + high) // 2
+        n = first.pop() if first else (low + high) // 2
+        n = min(max(n, low), high)
         x, y = (_window_hashes(s, inverse, n) for s in sums)
         both = np.isin(x, y)
         i = int(both.argmax())
@@ -124,7 +127,7 @@ def longest_shared(a: str, b: str, least: int) -> tuple[int, int, int]:
         if both[i] and a[i : i + n] == b[j : j + n]:
             best, low = (n, i, j), n + 1
         else:
-            high = n - 1
+            high, first = n - 1, []
     return best
 
 

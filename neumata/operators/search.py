@@ -137,8 +137,9 @@ def first_of_title(songs: DataFrame) -> DataFrame:
 
 
 def shared_runs(pairs: DataFrame, songs: DataFrame, n: int, places: bool = False) -> DataFrame:
-    """(a, b, lcs): the longest common substring of each pair (a, b), where it has n symbols or more; with ``places`` also
-    where the first of the longest starts in a and b (pa, pb).
+    """(a, b, lcs): the longest common substring of each pair (a, b, shared), where it has n symbols or more; with ``places`` also
+    where the first of the longest starts in a and b (pa, pb). shared, the number of different n-grams in
+    common, is a good guess of the length: that of one passage without repeats.
 
     Whole songs meet in Arrow batches, pair by pair: windows that a repetitive song holds many times are
     not multiplied with those of its partner.
@@ -149,10 +150,10 @@ def shared_runs(pairs: DataFrame, songs: DataFrame, n: int, places: bool = False
     both = both.repartition(int(songs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     @F.pandas_udf("struct<lcs:long,pa:int,pb:int>")
-    def longest(x: pd.Series, y: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([melody.longest_shared(a, b, n) for a, b in zip(x, y, strict=True)], columns=["lcs", "pa", "pb"])
+    def longest(x: pd.Series, y: pd.Series, shared: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([melody.longest_shared(a, b, n, s + n - 1) for a, b, s in zip(x, y, shared, strict=True)], columns=["lcs", "pa", "pb"])
 
-    rows = both.select("a", "b", longest("a_digits", "b_digits").alias("r")).where("r.lcs > 0")
+    rows = both.select("a", "b", longest("a_digits", "b_digits", "shared").alias("r")).where("r.lcs > 0")
     return rows.select("a", "b", "r.lcs", *(["r.pa", "r.pb"] if places else []))
 
 

@@ -172,7 +172,7 @@ def clone_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL} SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2")
 def lcs_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = songs(spark, sf_dir).select("song_id", "digits")
-    return search.shared_runs(search.clone_links(spark, every, 14, 12).select("a", "b"), every, 14)
+    return search.shared_runs(search.clone_links(spark, every, 14, 12), every, 14)
 
 
 @query(f"""WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL}, longest AS (SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2)
@@ -180,7 +180,7 @@ SELECT a, b, CASE WHEN x.title = y.title THEN 'same title' WHEN 10 * lcs >= 9 *
 FROM longest JOIN songs x ON x.song_id = a JOIN songs y ON y.song_id = b""")
 def clone_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     every = songs(spark, sf_dir)
-    runs = search.shared_runs(search.clone_links(spark, every.select("song_id", "digits"), 14, 12).select("a", "b"), every.select("song_id", "digits"), 14)
+    runs = search.shared_runs(search.clone_links(spark, every.select("song_id", "digits"), 14, 12), every.select("song_id", "digits"), 14)
     side = lambda c: every.select(F.col("song_id").alias(c), F.col("title").alias(f"{c}_title"), F.length("digits").alias(f"{c}_n"))
     both = runs.join(side("a"), "a").join(side("b"), "b")
     kind = F.when(F.col("a_title") == F.col("b_title"), "same title").when(10 * F.col("lcs") >= 9 * F.least("a_n", "b_n"), "contained").otherwise("partial")
@@ -264,7 +264,7 @@ def modal_shift_lcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     contour, so runs of contours are one note longer."""
     every = songs(spark, sf_dir).select("song_id", "digits")
     shifted = every.select("song_id", melody.contour(F.col("digits")).alias("digits"))
-    runs = search.shared_runs(search.clone_links(spark, shifted, 14, 12).select("a", "b"), shifted, 14, places=True)
+    runs = search.shared_runs(search.clone_links(spark, shifted, 14, 12), shifted, 14, places=True)
     side = lambda c: every.select(F.col("song_id").alias(c), F.col("digits").alias(f"{c}_digits"))
     at = lambda c, p: F.substring(F.col(f"{c}_digits"), F.col(p) + 1, F.lit(1)).cast("int")
     both = runs.join(side("a"), "a").join(side("b"), "b")
