@@ -198,12 +198,13 @@ def _later_windows(texts: DataFrame, spans: DataFrame, window: int) -> DataFrame
 
     seen = texts.join(marks, UNIT).mapInArrow(windows, "h1 long, h2 long, unit_id long, text_hash long, start int, salts int")
     seen = seen.withColumn("salt", _salt(F.col("salts")))
-    order = Window.partitionBy("h1", "h2", "salt").orderBy(*PLACE)
-    first = F.row_number().over(order) == 1
+    place = F.struct(*PLACE)
+    first = F.min(place).over(Window.partitionBy("h1", "h2", "salt")) == place
     open_ = first & (F.col("salts") > 1)
-    # not written: the dealt texts and windows are then reused within one job, also by the cut of the texts
+    # not written, and ranked by a minimum and not by a row number, which Spark would limit in one branch only: so the
+    # dealt texts and windows are reused within one job, also by the cut of the texts
     kept = seen.withColumns({"first": first, "open": open_}).where("NOT first OR open").select(*PLACE, "open", "h1", "h2")
-    salted, place = kept.where("open"), F.struct(*PLACE)
+    salted = kept.where("open")
     earliest = salted.groupBy("h1", "h2").agg(F.min(place).alias("earliest"))
     return kept.where("NOT open").select(*PLACE).unionByName(salted.join(earliest, ["h1", "h2"]).where(place > F.col("earliest")).select(*PLACE))
 
