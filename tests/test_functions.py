@@ -400,3 +400,32 @@ def test_sinks_and_decoding(spark, tmp_path):
     assert sorted((r.title, r.by_tag) for r in spark.read.parquet(str(tmp_path / "by")).where("by_tag IS NOT NULL").collect()) == [("a", "x"), ("a", "y")]
     pages = spark.createDataFrame([(bytearray("简谱".encode()),), (bytearray("简谱".encode("gb18030")),)], "data binary")
     assert [r.t for r in pages.select(corpus_files.decoded(F.col("data")).alias("t")).collect()] == ["简谱", "简谱"]
+
+
+def test_retrieval_with_indels_against_plain_scan(spark):
+    from neumata.operators import evaluation
+
+    rng = random.Random(12)
+    songs = [(k, f"t{k % 5}", "".join(rng.choices("1234567", k=rng.choice([9, 30, 60])))) for k in range(40)]
+    table = spark.createDataFrame(songs, "song_id long, title string, digits string")
+    frags = evaluation.fragments(table, 13, 0, every=4, indel=True)
+    listed = {r.query_id: (r.true_title, r.q) for r in frags.collect()}
+    assert set(listed) == {k for k, _, d in songs if k % 4 == 0 and len(d) >= 13} and all(len(q) in (12, 14) for _, q in listed.values())
+    near = lambda d, q: min((sum(a != b for a, b in zip(d[i:], q)) for i in range(len(d) - len(q) + 1)), default=None)
+    best = {}
+    for i, (_, q) in listed.items():
+        for _, title, digits in songs:
+            costs = [c for v in {q, *(q[:k] + q[k + 1 :] for k in range(len(q)))} if (c := near(digits, v)) is not None]
+            if costs:
+                best[i, title] = min([*costs, best.get((i, title), 99)])
+    scanned = evaluation.full_scan(table, frags, deletions=True)
+    got = scanned.groupBy("query_id", "title").agg(F.min("diff").alias("diff"))
+    assert {(r.query_id, r.title): r["diff"] for r in got.collect()} == best
+    ranks = []
+    for i, (title, _) in listed.items():
+        costs = [c for (j, _), c in best.items() if j == i]
+        mine = best[i, title]
+        ranks.append((1 + sum(c < mine for c in costs), sum(c == mine for c in costs)))
+    row = evaluation.hit_rates(frags, got).first()
+    assert (row.queries, row.hit1, row.hit3, row.pessimistic1) == (len(listed), sum(r <= 1 for r, _ in ranks), sum(r <= 3 for r, _ in ranks), sum(r + t - 1 <= 1 for r, t in ranks))
+    assert abs(row.mean_ties - sum(t for _, t in ranks) / len(ranks)) < 1e-5
