@@ -139,12 +139,13 @@ def first_of_title(songs: DataFrame) -> DataFrame:
 def shared_runs(pairs: DataFrame, songs: DataFrame, n: int, places: bool = False) -> DataFrame:
     """(a, b, lcs): the longest common substring of each pair (a, b, shared), where it has n symbols or more; with ``places`` also
     where the first of the longest starts in a and b (pa, pb). shared, the number of different n-grams in
-    common, is a good guess of the length: that of one passage without repeats.
+    common, may be left out; it is a good guess of the length: that of one passage without repeats.
 
     Whole songs meet in Arrow batches, pair by pair: windows that a repetitive song holds many times are
     not multiplied with those of its partner.
     """
     side = lambda c: songs.select(F.col("song_id").alias(c), F.col("digits").alias(f"{c}_digits"))
+    pairs = pairs if "shared" in pairs.columns else pairs.withColumn("shared", F.lit(1))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     # by number, as the work is in the comparison and small joined rows would be put together into one task
     both = both.repartition(int(songs.sparkSession.conf.get("spark.sql.shuffle.partitions")))

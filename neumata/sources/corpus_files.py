@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,6 +111,10 @@ def write_by(songs: DataFrame, path: str, attribute: str) -> None:
 
 
 def decoded(data: Column, charset: str = "gb18030") -> Column:
-    """Bytes of a page as text: by UTF-8 if they are, else by the site's own charset."""
-    text = F.try_validate_utf8(data.cast("string"))
-    return F.coalesce(text, F.decode(F.when(text.isNull(), data), charset))
+    """Bytes of a page as text: by UTF-8 if they are, else by the site's own charset, which Spark's own decoding may not know."""
+
+    @F.pandas_udf("string")
+    def read(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda b: None if b is None else bytes(b).decode(charset, "replace"))
+
+    return F.coalesce(F.try_validate_utf8(data.cast("string")), read(data))
