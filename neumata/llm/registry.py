@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.llm import classifier, licences, mixing, packing, quality_rules, secrets, sharding, simhash, substrings, vectors
+from neumata.llm import (
+    classifier,
+    filter_audit,
+    licences,
+    mixing,
+    packing,
+    quality_rules,
+    ranked_search,
+    secrets,
+    sharding,
+    simhash,
+    substrings,
+    token_files,
+    vectors,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +85,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(spark, _table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audited(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 OP1_SQL = r"""
 WITH sized AS (
     SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -186,6 +212,29 @@ FROM split s LEFT JOIN left_over l ON s.doc_id = l.doc_id
 """
 
 
+OP13_SQL = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), asked AS (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), of_item AS (SELECT item_id, term, count(*) AS q FROM asked GROUP BY ALL
+), corpus AS (SELECT count(*) FILTER (len(terms) > 0) AS n_all, CAST(sum(len(terms)) AS BIGINT) AS l_all FROM split
+), sized AS (SELECT doc_id, terms, 100 - 75 + (75 * CAST(len(terms) AS BIGINT) * n_all) // l_all AS m FROM split, corpus
+), postings AS (SELECT doc_id, m, term, count(*) AS tf FROM (SELECT doc_id, m, unnest(terms) AS term FROM sized) GROUP BY ALL
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * CAST(n_all AS DOUBLE) + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), corpus
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM of_item JOIN weights USING (term) JOIN postings USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def queries() -> dict[str, Query]:
     every = (
         op1_mix_sources,
@@ -198,9 +247,20 @@ def queries() -> dict[str, Query]:
         op8_substrings,
         op9_shard,
         op10_simhash,
+        op11_token_files,
+        op12_filter_audit,
+        op13_ranked_search,
     )
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix_sources": OP1_SQL, "op2_quality_rules": OP2_SQL, "op5_licences": licences.sql(), "op6_near_vectors": OP6_SQL, "op8_substrings": OP8_SQL}
+    return {
+        "op1_mix_sources": OP1_SQL,
+        "op2_quality_rules": OP2_SQL,
+        "op5_licences": licences.sql(),
+        "op6_near_vectors": OP6_SQL,
+        "op8_substrings": OP8_SQL,
+        "op12_filter_audit": filter_audit.SQL,
+        "op13_ranked_search": OP13_SQL,
+    }
