@@ -160,53 +160,6 @@ def closure(spark: SparkSession, edges: DataFrame, most: int = 100) -> DataFrame
         out, depth = out.unionByName(level), depth + 1
 
 
-def same_titles(have: DataFrame, want: DataFrame, block: int = 2) -> DataFrame:
-    """(title, wanted): titles of ``have`` that are ``titles.same_title`` as a wanted one and begin with the same ``block`` signs.
-
-    Both sides hold different titles alone, so a common title is compared once.
-    """
-    head = lambda c: F.left(F.col(c), F.lit(block)).alias("head")
-    met = have.select("title", head("title")).join(want.select("wanted", head("wanted")), "head")
-    return met.where(titles.same_title(F.col("title"), F.col("wanted"))).select("title", "wanted")
-
-
-def covered(songs: DataFrame, want: DataFrame, similar: Callable[[DataFrame, list[str], float], DataFrame], few: int, least_notes: int = 11, least: float = 0.60) -> DataFrame:
-    """``want`` (wanted, more columns) with verdict and found: hit, too short, alias, similar or missing.
-
-    ``songs`` has title, alias, n_notes. Of several songs of a title the longest counts. The wanted titles are a list
-    of ``few`` at most, which ``similar`` compares with every title and alias of the corpus; more are an error.
-    """
-    names = lambda c: songs.select(F.col(c).alias("title"), "n_notes").where("title <> ''").groupBy("title").agg(F.max("n_notes").alias("n_notes"))
-    wanted = want.select("wanted").where("wanted <> ''").distinct()
-    listed = [r["wanted"] for r in wanted.limit(few + 1).collect()]
-    if len(listed) > few:
-        raise ValueError(f"a list of {few} titles at most can be looked up")
-    by_title, by_alias = names("title"), names("alias")
-    rank = F.struct((F.col("n_notes") < least_notes).alias("short"), "title")
-    # a stated list of ``few`` titles against all rows
-    met = lambda rows: rows.join(F.broadcast(wanted), titles.same_title(F.col("title"), F.col("wanted")))
-    direct = lambda rows: met(rows).groupBy("wanted").agg(F.min(rank).alias("b"))
-    hit = direct(by_title).select("wanted", F.col("b.short").alias("short"), F.col("b.title").alias("hit"))
-    alias = direct(by_alias).select("wanted", F.col("b.title").alias("alias"))
-    close = similar(by_title.select("title").union(by_alias.select("title")).distinct(), listed, least).select("wanted", F.col("title").alias("similar"))
-    out = want.join(hit, "wanted", "left").join(alias, "wanted", "left").join(close, "wanted", "left")
-    verdict = (
-        F.when(F.col("hit").isNotNull(), F.when(F.col("short"), "too short").otherwise("hit"))
-        .when(F.col("alias").isNotNull(), "alias").when(F.col("similar").isNotNull(), "similar").otherwise("missing")
-    )
-    return out.select(*want.columns, verdict.alias("verdict"), F.coalesce("hit", "alias", "similar").alias("found"))
-
-
-def spelled(names: DataFrame, known: DataFrame, few: int) -> DataFrame:
-    """``names`` with artist: the known spelling (key, spelling) of its name; of a noisy name the first known one within it."""
-    listed = known.limit(few + 1).collect()
-    if len(listed) > few:
-        raise ValueError(f"{few} known names at most can be looked for within others")
-    direct = names.join(known, F.lower("name") == F.col("key"), "left").drop("key")
-    within = F.array_min(F.array_compact(F.array(*(F.when(F.lower("name").contains(r["key"]), F.lit(r["spelling"])) for r in listed), F.lit(None).cast("string"))))
-    return direct.withColumn("artist", F.coalesce("spelling", within)).drop("spelling")
-
-
 def nearest_ranks(counts: DataFrame, key: str, value: str, ranks: dict[str, Callable[[Column], Column]]) -> DataFrame:
     """(key, one column per rank): the value at each 1-based rank of its group, where ``counts`` has k rows of each value.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from neumata.functions import melody
 from neumata.functions.tokens import parse_notes
-from neumata.operators import search
+from neumata.operators import clones, search
 from neumata.operators.graph import components
 from neumata.plans.base import SONGS_SQL, TOKENS_SQL, fragments, fragments_sql, query, section_weight_sql, sectioned, songs, table, tokens, windows_sql
 
@@ -133,58 +133,61 @@ def version_unique_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("title", "song_id", "n_windows", F.coalesce("n_unique", F.lit(0).cast("long")).alias("n_unique"))
 
 
-def links_sql(of: str = "songs", n: int = 14, least: int = 12) -> str:
-    """The links of ``search.clone_links`` from their definition: songs of equal grams, holders of classes of grams, pairs of several small classes."""
-    return f"""{windows_sql(n, of)}, grams AS (SELECT DISTINCT song_id, w FROM windows), sets AS (
-    SELECT song_id, list(w ORDER BY w) AS g, count(*) AS k FROM grams GROUP BY song_id HAVING count(*) >= {least}
-), of_set AS (SELECT song_id, k, min(song_id) OVER (PARTITION BY g) AS first FROM sets
-), held AS (SELECT song_id, w FROM grams SEMI JOIN (FROM of_set WHERE song_id = first) USING (song_id)
-), holders AS (SELECT w, list(song_id ORDER BY song_id) AS h FROM held GROUP BY w HAVING count(*) > 1
-), classes AS (SELECT h, count(*) AS weight FROM holders GROUP BY h
-), crowds AS (SELECT DISTINCT unnest(h[2:]) AS a, h[1] AS b FROM classes WHERE weight >= {least}
-), small AS (SELECT unnest(h) AS song_id, row_number() OVER () AS class, weight FROM classes WHERE weight < {least}
-), named AS (SELECT song_id, any_value(weight) AS weight, class FROM small GROUP BY song_id, class
-), met AS (SELECT x.song_id AS a, y.song_id AS b FROM named x JOIN named y ON x.class = y.class AND y.song_id < x.song_id GROUP BY 1, 2 HAVING sum(x.weight) >= {least}
-), ends AS (FROM crowds UNION FROM met
-), links AS (SELECT a, b, count(*) AS shared FROM ends JOIN held x ON x.song_id = a JOIN held y ON y.song_id = b AND y.w = x.w GROUP BY 1, 2
-    UNION ALL SELECT song_id, first, k FROM of_set WHERE song_id <> first)"""
+#: Notes that clones share in one run, at least.
+RUN = 24
+
+
+def links_sql(of: str = "songs", n: int = RUN) -> str:
+    """The holders of each window of n symbols beside the smallest of them, and how many windows that is so of."""
+    return f"""{windows_sql(n, of)}, grams AS (SELECT DISTINCT song_id, w FROM windows
+), firsts AS (SELECT song_id, min(song_id) OVER (PARTITION BY w) AS first FROM grams
+), links AS (SELECT song_id AS a, first AS b, count(*) AS shared FROM firsts WHERE song_id <> first GROUP BY ALL)"""
 
 
 RUNS_SQL = """met2 AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM links JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
 ), runs AS (SELECT a, b, d, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met2)"""
+LONGEST_SQL = f"longest AS (SELECT a, b, max(n) + {RUN - 1} AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2)"
+
+
+def _links(spark: SparkSession, every: DataFrame, n: int = RUN) -> DataFrame:
+    return clones.clone_links(spark, every.select("song_id", "digits"), n)
 
 
-@query(f"""WITH RECURSIVE {SONGS_SQL}, {windows_sql(14)}, held AS (SELECT DISTINCT song_id, w FROM windows
-), pairs AS (SELECT x.song_id AS a, y.song_id AS b FROM held x JOIN held y ON x.w = y.w AND x.song_id <> y.song_id GROUP BY 1, 2 HAVING count(*) >= 12
+@query(f"""WITH RECURSIVE {SONGS_SQL}, {windows_sql(RUN)}, held AS (SELECT DISTINCT song_id, w FROM windows
+), pairs AS (SELECT DISTINCT x.song_id AS a, y.song_id AS b FROM held x JOIN held y ON x.w = y.w AND x.song_id <> y.song_id
 ), reach AS (SELECT a AS song_id, a AS seen FROM pairs UNION SELECT r.song_id, p.b FROM reach r JOIN pairs p ON r.seen = p.a)
 SELECT song_id, min(seen) AS class_id FROM reach GROUP BY song_id""")
 def clone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The class of each song that shares 12 windows of 14 notes or more with another: the first song reachable over such links."""
-    links = search.clone_links(spark, songs(spark, sf_dir).select("song_id", "digits"), 14, 12)
+    """The class of each song that shares a run of RUN notes with another: the first song reachable over such pairs."""
+    links = _links(spark, songs(spark, sf_dir))
     return components(spark, links.select("a", "b")).select(F.col("node").alias("song_id"), F.col("component").alias("class_id"))
 
 
 @query(f"WITH {SONGS_SQL}, {links_sql()} SELECT * FROM links")
 def clone_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.clone_links(spark, songs(spark, sf_dir).select("song_id", "digits"), 14, 12)
+    return _links(spark, songs(spark, sf_dir))
 
 
-@query(f"WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL} SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2")
+@query(f"WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL}, {LONGEST_SQL} SELECT * FROM longest")
 def lcs_diagonal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run that the songs of each link share."""
     every = songs(spark, sf_dir).select("song_id", "digits")
-    return search.shared_runs(search.clone_links(spark, every, 14, 12), every, 14)
+    return clones.shared_runs(_links(spark, every), every, RUN)
 
 
-@query(f"""WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL}, longest AS (SELECT a, b, max(n) + 13 AS lcs FROM (SELECT a, b, d, island, count(*) AS n FROM runs GROUP BY ALL) GROUP BY 1, 2)
-SELECT a, b, CASE WHEN x.title = y.title THEN 'same title' WHEN 10 * lcs >= 9 * least(length(x.digits), length(y.digits)) THEN 'contained' ELSE 'partial' END AS kind
+@query(f"""WITH {SONGS_SQL}, {links_sql()}, {RUNS_SQL}, {LONGEST_SQL}
+SELECT a, b, CASE WHEN x.title = y.title THEN 'same title' WHEN 10 * lcs >= 9 * least(length(x.digits), length(y.digits)) THEN 'contained' ELSE 'partial' END AS kind,
+       round(lcs / least(length(x.digits), length(y.digits)), 6) AS cover
 FROM longest JOIN songs x ON x.song_id = a JOIN songs y ON y.song_id = b""")
 def clone_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each link is, and which share of the shorter song its longest run covers."""
     every = songs(spark, sf_dir)
-    runs = search.shared_runs(search.clone_links(spark, every.select("song_id", "digits"), 14, 12), every.select("song_id", "digits"), 14)
+    runs = clones.shared_runs(_links(spark, every), every.select("song_id", "digits"), RUN)
     side = lambda c: every.select(F.col("song_id").alias(c), F.col("title").alias(f"{c}_title"), F.length("digits").alias(f"{c}_n"))
     both = runs.join(side("a"), "a").join(side("b"), "b")
-    kind = F.when(F.col("a_title") == F.col("b_title"), "same title").when(10 * F.col("lcs") >= 9 * F.least("a_n", "b_n"), "contained").otherwise("partial")
-    return both.select("a", "b", kind.alias("kind"))
+    shorter = F.least("a_n", "b_n")
+    kind = F.when(F.col("a_title") == F.col("b_title"), "same title").when(10 * F.col("lcs") >= 9 * shorter, "contained").otherwise("partial")
+    return both.select("a", "b", kind.alias("kind"), F.round(F.col("lcs") / shorter, 6).alias("cover"))
 
 
 @query(f"""WITH {SONGS_SQL} SELECT song_id, CAST(levenshtein(digits, '{QUERY}') AS INT) AS edits, CAST(length(digits) AS INT) AS n_notes FROM songs""")
@@ -254,17 +257,17 @@ SHIFTED_SQL = """shifted AS MATERIALIZED (SELECT song_id, title, array_to_string
     lambda i: (CAST(digits[i + 1] AS INT) - CAST(digits[i] AS INT) + 7) % 7), '') AS digits FROM songs)"""
 
 
-@query(f"""WITH {SONGS_SQL}, {SHIFTED_SQL}, {links_sql("shifted")}, {RUNS_SQL}, sized AS (
+@query(f"""WITH {SONGS_SQL}, {SHIFTED_SQL}, {links_sql("shifted", RUN - 1)}, {RUNS_SQL}, sized AS (
     SELECT a, b, d, max(p) AS p, count(*) AS n FROM (SELECT a, b, d, met2.p, p - row_number() OVER (PARTITION BY a, b, d ORDER BY p) AS island FROM met2) GROUP BY a, b, d, island
 ), best AS (SELECT * FROM sized QUALIFY row_number() OVER (PARTITION BY a, b ORDER BY n DESC, p - n, p - n - d) = 1)
-SELECT a, b, n + 14 AS lcs, (CAST(x.digits[p - n + 2] AS INT) - CAST(y.digits[p - n - d + 2] AS INT) + 7) % 7 AS shift
+SELECT a, b, n + {RUN - 1} AS lcs, (CAST(x.digits[p - n + 2] AS INT) - CAST(y.digits[p - n - d + 2] AS INT) + 7) % 7 AS shift
 FROM best JOIN songs x ON x.song_id = a JOIN songs y ON y.song_id = b""")
 def modal_shift_lcs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Longest common substrings up to a modal shift, with the shift of the first of the longest: a shift leaves the
     contour, so runs of contours are one note longer."""
     every = songs(spark, sf_dir).select("song_id", "digits")
     shifted = every.select("song_id", melody.contour(F.col("digits")).alias("digits"))
-    runs = search.shared_runs(search.clone_links(spark, shifted, 14, 12), shifted, 14, places=True)
+    runs = clones.shared_runs(_links(spark, shifted, RUN - 1), shifted, RUN - 1, places=True)
     side = lambda c: every.select(F.col("song_id").alias(c), F.col("digits").alias(f"{c}_digits"))
     at = lambda c, p: F.substring(F.col(f"{c}_digits"), F.col(p) + 1, F.lit(1)).cast("int")
     both = runs.join(side("a"), "a").join(side("b"), "b")

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import difflib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from neumata.functions import naming as N, titles
-from neumata.operators import corpus, search
+from neumata.operators import matching
 from neumata.plans.base import NAMES_SQL, names, query, table
 
 BARE = f"lower(regexp_replace({{}}, '[^0-9A-Za-z{N.HAN}]', '', 'g'))"
@@ -121,41 +117,13 @@ want AS (SELECT p_partkey, lower(regexp_replace(array_to_string(string_split(p_n
 @query(f"""WITH {TITLES_SQL} SELECT p_partkey, min(title) AS title, count(*) AS n FROM want JOIN have ON left(wanted, 2) = left(title, 2)
     AND (wanted = title OR ((contains(title, wanted) OR contains(wanted, title)) AND least(length(title), length(wanted)) >= 4 AND 2 * least(length(title), length(wanted)) >= greatest(length(title), length(wanted)))) GROUP BY 1""")
 def fuzzy_title_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wanted titles that a title of the corpus equals or holds, within blocks of two first signs; blocks meet on different titles alone."""
+    """Wanted titles that a title of the corpus equals or holds, and which begin with the same two signs."""
     have, want = _titles(spark, sf_dir)
-    pairs = corpus.same_titles(have, want.select("wanted").distinct())
+    pairs = matching.same_titles(have, want, head=2)
     found = pairs.groupBy("wanted").agg(F.min("title").alias("title"), F.count("*").alias("n"))
     return want.join(found, "wanted").select("p_partkey", "title", "n")
 
 
-def best_similar(have: DataFrame, wanted: list[str], least: float) -> DataFrame:
-    """(wanted, title, ratio): for each of a list of titles the most similar title of ``have``, the first of equals, if it
-    reaches ``least``. The list goes to the tasks and meets the corpus in batches; bounds on the ratio spare most comparisons."""
-    shared = have.sparkSession.sparkContext.broadcast(wanted)  # search.FEW titles at most
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best: dict[str, tuple[float, str]] = {}
-        for pdf in batches:
-            for want in shared.value:
-                match = difflib.SequenceMatcher(None, autojunk=False)
-                match.set_seq2(want)
-                for title in pdf["title"]:
-                    low, held = best.get(want, (least, None))
-                    if 2 * min(len(want), len(title)) < low * (len(want) + len(title)):
-                        continue
-                    match.set_seq1(title)
-                    ratio = match.ratio() if match.quick_ratio() >= low else 0.0
-                    if len(want) >= 3 and len(title) >= 3 and (want in title or title in want):
-                        ratio = max(ratio, 0.75)
-                    if ratio > low or (ratio == low and (held is None or title < held)):
-                        best[want] = ratio, title
-        yield pd.DataFrame([(w, t, r) for w, (r, t) in best.items()], columns=["wanted", "title", "ratio"])
-
-    rows = have.select("title").mapInPandas(run, "wanted string, title string, ratio double")
-    best = F.min_by(F.struct("title", "ratio"), F.struct((-F.col("ratio")).alias("less"), "title")).alias("b")
-    return rows.groupBy("wanted").agg(best).select("wanted", "b.title", "b.ratio")
-
-
 @query()
 def coverage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the corpus has each of the wanted songs (every hundredth part): by title, but too short or not, by alias, by similarity of
@@ -164,7 +132,7 @@ def coverage_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     song = part.where("p_partkey % 7 <> 0").select(titles.normal_title("p_name").alias("title"), titles.normal_title("p_type").alias("alias"), F.col("p_size").alias("n_notes"))
     wish = F.when(F.col("p_partkey") % 300 == 0, F.col("p_type")).when(F.col("p_partkey") % 200 == 0, F.reverse(F.col("p_name"))).otherwise(F.col("p_name"))
     want = part.where("p_partkey % 100 = 0").select("p_partkey", titles.normal_title(wish).alias("wanted"))
-    return corpus.covered(song, want, best_similar, search.FEW)
+    return matching.covered(song, want)
 
 
 @query("""WITH counts AS (SELECT lower(role) AS key, role, count(*) AS n FROM conversations GROUP BY 1, 2), best AS (SELECT key, arg_min(role, (-n, role)) AS spelling FROM counts GROUP BY key),
@@ -177,4 +145,4 @@ def artist_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = counts.groupBy("key").agg(F.min_by("role", F.struct(-F.col("n"), "role")).alias("spelling"))
     turn = F.col("turn") % 3
     name = F.when(turn == 0, F.concat(F.lit("the "), F.upper("role"), F.lit(" (live)"))).when(turn == 1, F.col("role")).otherwise("various artists")
-    return corpus.spelled(rows.select("conv_id", "turn", name.alias("name")), best, search.FEW).select("conv_id", "turn", "artist")
+    return matching.spelled(rows.select("conv_id", "turn", name.alias("name")), best).select("conv_id", "turn", "artist")

@@ -2,7 +2,9 @@
 
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from neumata.functions import melody, naming, titles
 from neumata.functions import tokens as T
-from neumata.operators import corpus, notation, records, search
+from neumata.operators import clones, corpus, notation, records, search
 from neumata.sources import corpus_files, music_files
 from neumata.streaming import ledger
 
@@ -120,16 +122,21 @@ def test_longest_shared():
         assert n == (size if size >= 3 else 0) and a[i : i + n] == b[j : j + n]
 
 
-def test_clone_links_are_complete(spark):
-    rng = random.Random(6)
-    text = lambda n: "".join(rng.choices("1234567", k=n))
-    a, b, passage = text(23), text(23), text(40)
-    songs = [a, b, a + "1" + b, b + "2" + a, a + "1" + b, "1" * 200, "1" * 90, text(60)] + [text(10) + passage + text(10) for _ in range(6)]
-    table = spark.createDataFrame(list(enumerate(songs)), "song_id long, digits string")
-    grams = [{s[i : i + 14] for i in range(len(s) - 13)} for s in songs]
-    shared = {(i, j): len(grams[i] & grams[j]) for i in range(len(songs)) for j in range(i) if len(grams[i] & grams[j]) >= 12}
-    links = {(r.a, r.b): r.shared for r in search.clone_links(spark, table, 14, 12).collect()}
-    assert links.items() <= shared.items()
+@pytest.mark.parametrize("n", [3, 14, 24])
+def test_clone_links_connect_what_shares_a_run(spark, n):
+    rng = random.Random(n)
+    text = lambda k: "".join(rng.choices("1234567", k=k))
+    a, passage = text(n), text(2 * n)
+    songs = [a, a[1:] + "1", "7" + a, "1" * 200, "1" * (n - 1), "1" * (n + 5), text(60), "", None, a] + [text(10) + passage[k : k + n + k] + text(10) for k in range(8)]
+    table = spark.createDataFrame(list(enumerate(songs)), "song_id int, digits string").repartition(3)
+    grams = [{(s or "")[i : i + n] for i in range(len(s or "") - n + 1)} for s in songs]
+    first = {}
+    for i, own in enumerate(grams):
+        for g in own:
+            first.setdefault(g, i)
+    expected = Counter((i, first[g]) for i, own in enumerate(grams) for g in own if first[g] != i)
+    links = {(r.a, r.b): r.shared for r in clones.clone_links(spark, table, n).collect()}
+    assert links == expected
 
     def classes(pairs):
         label = list(range(len(songs)))
@@ -138,7 +145,24 @@ def test_clone_links_are_complete(spark):
                 label[i] = label[j] = min(label[i], label[j])
         return label
 
-    assert classes(links) == classes(shared)
+    assert classes(links) == classes([(i, j) for i in range(len(songs)) for j in range(i) if grams[i] & grams[j]])
+
+
+def test_clone_links_grow_with_the_songs(spark):
+    """A passage of all songs gives a link a song, where pairs would give the square; so do passages of many overlapping kinds."""
+    rng = random.Random(2)
+    text = lambda k: "".join(rng.choices("1234567", k=k))
+    passages = [text(40) for _ in range(5)]
+    songs = [(i, text(20) + rng.choice(passages)[rng.randint(0, 10) :] + text(20) + passages[0]) for i in range(600)]
+    n_links = [clones.clone_links(spark, spark.createDataFrame(songs[:n], "song_id long, digits string"), 24).count() for n in (150, 300, 600)]
+    assert n_links[2] <= 6 * 600 and n_links[2] < 2.5 * n_links[1] < 6.25 * n_links[0]
+
+
+def test_window_codes():
+    x = np.array([1, 2, 3, 7, 0])
+    assert clones.window_codes(x, 3).tolist() == [0o123, 0o237, 0o370] and clones.window_codes(x, 6).tolist() == []
+    with pytest.raises(ValueError, match="21"):
+        clones.window_codes(x, 22)
 
 
 @pytest.mark.parametrize(
@@ -232,12 +256,12 @@ def test_seed_search_equals_scan(spark, digits, query):
 def test_shared_runs(spark):
     songs = spark.createDataFrame([(1, "1234567123"), (2, "77734567177"), (3, "55")], "song_id int, digits string")
     pairs = spark.createDataFrame([(1, 2), (1, 3)], "a int, b int")
-    assert [tuple(r) for r in search.shared_runs(pairs, songs, 3).collect()] == [(1, 2, 6)]
+    assert [tuple(r) for r in clones.shared_runs(pairs, songs, 3).collect()] == [(1, 2, 6)]
 
 
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "song_id int, digits string, site string, lang string, title string")
-    assert search.scan(none, "123").count() == search.clone_links(spark, none, 3, 1).count() == search.annotate(none, none).count() == 0
+    assert search.scan(none, "123").count() == clones.clone_links(spark, none, 3).count() == search.annotate(none, none).count() == 0
     assert corpus.rule_counts(none, {"x": F.col("digits") != ""}).collect()[0].n == 0
 
 
@@ -402,7 +426,8 @@ def test_sinks_and_decoding(spark, tmp_path):
     assert [r.t for r in pages.select(corpus_files.decoded(F.col("data")).alias("t")).collect()] == ["简谱", "简谱"]
 
 
-def test_retrieval_with_indels_against_plain_scan(spark):
+@pytest.mark.parametrize("few", [10_000, 3])
+def test_retrieval_with_indels_against_plain_scan(spark, monkeypatch, few):
     from neumata.operators import evaluation
 
     rng = random.Random(12)
@@ -418,9 +443,9 @@ def test_retrieval_with_indels_against_plain_scan(spark):
             costs = [c for v in {q, *(q[:k] + q[k + 1 :] for k in range(len(q)))} if (c := near(digits, v)) is not None]
             if costs:
                 best[i, title] = min([*costs, best.get((i, title), 99)])
-    scanned = evaluation.full_scan(table, frags, deletions=True)
-    got = scanned.groupBy("query_id", "title").agg(F.min("diff").alias("diff"))
-    assert {(r.query_id, r.title): r["diff"] for r in got.collect()} == best
+    monkeypatch.setattr(evaluation, "FEW", few)
+    got = evaluation.nearer_titles(table, frags, deletions=True)
+    assert {(r.query_id, r.title): r["diff"] for r in got.collect()} == {(i, t): c for (i, t), c in best.items() if c <= best[i, listed[i][0]]}
     ranks = []
     for i, (title, _) in listed.items():
         costs = [c for (j, _), c in best.items() if j == i]
