@@ -105,21 +105,43 @@ def _window_hashes(sums: np.ndarray, inverse: np.ndarray, n: int) -> np.ndarray:
     return (sums[n:] - sums[:-n]) * inverse[: len(sums) - n]
 
 
-def longest_shared(a: str, b: str, least: int, guess: int | None = None) -> tuple[int, int, int]:
+def longest_shared(a: str, b: str, least: int) -> tuple[int, int, int]:
     """(length, start in a, start in b) of the longest common substring, the first of equals; zeros if it is shorter than ``least``.
 
-    The length is found by bisection: two strings share a substring of n symbols if they share one of n + 1. A ``guess``
-    is tried first, and then one symbol more. Windows are compared by polynomial hashes modulo 2 ** 64, from prefix
-    sums; what is found is compared itself.
+    Windows of ``least`` symbols that both strings hold lie on diagonals, where neighbours make one run. Windows
+    are compared by polynomial hashes modulo 2 ** 64, from prefix sums; what is found is compared itself. Strings that
+    repeat themselves so much that their windows meet all over are halved in on instead, see ``_by_bisection``.
     """
     size = max(len(a), len(b))
     power, inverse = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, base, np.uint64)]) for base in (BASE, INVERSE))
     sums = [np.r_[np.uint64(0), np.cumsum(np.frombuffer(t.encode(), np.uint8) * power[: len(t)], dtype=np.uint64)] for t in (a, b)]
+    if min(len(a), len(b)) < least:
+        return 0, 0, 0
+    x, y = (_window_hashes(s, inverse, least) for s in sums)
+    order = np.argsort(y, kind="stable")
+    held = y[order]
+    low, high = (np.searchsorted(held, x, side) for side in ("left", "right"))
+    times = high - low
+    if not (total := int(times.sum())):
+        return 0, 0, 0
+    if total > 8 * (len(a) + len(b)):
+        return _by_bisection(a, b, least, sums, inverse)
+    i = np.repeat(np.arange(len(x)), times)
+    j = order[np.repeat(low - np.cumsum(times) + times, times) + np.arange(total)]
+    along = np.lexsort((i, i - j))
+    i, j = i[along], j[along]
+    starts = np.flatnonzero(np.r_[True, (np.diff(i) != 1) | (np.diff(j) != 1)])
+    lengths = np.diff(np.r_[starts, total]) + least - 1
+    best = max(zip(lengths.tolist(), (-i[starts]).tolist(), (-j[starts]).tolist(), strict=True))
+    n, i, j = best[0], -best[1], -best[2]
+    return (n, i, j) if a[i : i + n] == b[j : j + n] else _by_bisection(a, b, least, sums, inverse)
+
+
+def _by_bisection(a: str, b: str, least: int, sums: list[np.ndarray], inverse: np.ndarray) -> tuple[int, int, int]:
+    """``longest_shared`` by halving the length: two strings share a substring of n symbols if they share one of n + 1."""
     low, high, best = least, min(len(a), len(b)), (0, 0, 0)
-    first = [] if guess is None else [guess + 1, guess]
     while low <= high:
-        n = first.pop() if first else (low + high) // 2
-        n = min(max(n, low), high)
+        n = (low + high) // 2
         x, y = (_window_hashes(s, inverse, n) for s in sums)
         both = np.isin(x, y)
         i = int(both.argmax())
@@ -127,7 +149,7 @@ def longest_shared(a: str, b: str, least: int, guess: int | None = None) -> tupl
         if both[i] and a[i : i + n] == b[j : j + n]:
             best, low = (n, i, j), n + 1
         else:
-            high, first = n - 1, []
+            high = n - 1
     return best
 
 

@@ -138,10 +138,11 @@ RUN = 24
 
 
 def links_sql(of: str = "songs", n: int = RUN) -> str:
-    """The holders of each window of n symbols beside the smallest of them, and how many windows that is so of."""
+    """Each song beside the smallest holder of its windows of n symbols, that of the most windows; how many windows that is so of."""
     return f"""{windows_sql(n, of)}, grams AS (SELECT DISTINCT song_id, w FROM windows
 ), firsts AS (SELECT song_id, min(song_id) OVER (PARTITION BY w) AS first FROM grams
-), links AS (SELECT song_id AS a, first AS b, count(*) AS shared FROM firsts WHERE song_id <> first GROUP BY ALL)"""
+), meetings AS (SELECT song_id AS a, first AS b, count(*) AS shared FROM firsts WHERE song_id <> first GROUP BY ALL
+), links AS (SELECT * FROM meetings QUALIFY row_number() OVER (PARTITION BY a ORDER BY shared DESC, b) = 1)"""
 
 
 RUNS_SQL = """met2 AS (SELECT a, b, x.pos - y.pos AS d, x.pos AS p FROM links JOIN windows x ON x.song_id = a JOIN windows y ON y.song_id = b AND y.w = x.w
@@ -159,8 +160,8 @@ def _links(spark: SparkSession, every: DataFrame, n: int = RUN) -> DataFrame:
 SELECT song_id, min(seen) AS class_id FROM reach GROUP BY song_id""")
 def clone_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of each song that shares a run of RUN notes with another: the first song reachable over such pairs."""
-    links = _links(spark, songs(spark, sf_dir))
-    return components(spark, links.select("a", "b")).select(F.col("node").alias("song_id"), F.col("component").alias("class_id"))
+    met = clones.meetings(spark, songs(spark, sf_dir).select("song_id", "digits"), RUN)
+    return components(spark, met.select("a", "b")).select(F.col("node").alias("song_id"), F.col("component").alias("class_id"))
 
 
 @query(f"WITH {SONGS_SQL}, {links_sql()} SELECT * FROM links")

@@ -120,10 +120,13 @@ def test_longest_shared():
         size = difflib.SequenceMatcher(None, a, b, autojunk=False).find_longest_match(0, len(a), 0, len(b)).size
         n, i, j = melody.longest_shared(a, b, 3)
         assert n == (size if size >= 3 else 0) and a[i : i + n] == b[j : j + n]
+        first = min(((p, q) for p in range(len(a) - n + 1) for q in range(len(b) - n + 1) if a[p : p + n] == b[q : q + n]), default=None)
+        assert (i, j) == (first if n else (0, 0))
+    assert melody.longest_shared("1" * 500, "2" + "1" * 400 + "2", 3) == (400, 0, 1)  # too many windows in common for diagonals
 
 
 @pytest.mark.parametrize("n", [3, 14, 24])
-def test_clone_links_connect_what_shares_a_run(spark, n):
+def test_meetings_connect_what_shares_a_run(spark, n):
     rng = random.Random(n)
     text = lambda k: "".join(rng.choices("1234567", k=k))
     a, passage = text(n), text(2 * n)
@@ -135,8 +138,12 @@ def test_clone_links_connect_what_shares_a_run(spark, n):
         for g in own:
             first.setdefault(g, i)
     expected = Counter((i, first[g]) for i, own in enumerate(grams) for g in own if first[g] != i)
-    links = {(r.a, r.b): r.shared for r in clones.clone_links(spark, table, n).collect()}
+    links = {(r.a, r.b): r.shared for r in clones.meetings(spark, table, n).collect()}
     assert links == expected
+    strongest = {}
+    for (i, j), shared in links.items():
+        strongest[i] = min(strongest.get(i, (0, 0)), (-shared, j))
+    assert {(r.a, r.b, r.shared) for r in clones.clone_links(spark, table, n).collect()} == {(i, j, -less) for i, (less, j) in strongest.items()}
 
     def classes(pairs):
         label = list(range(len(songs)))
@@ -148,13 +155,13 @@ def test_clone_links_connect_what_shares_a_run(spark, n):
     assert classes(links) == classes([(i, j) for i in range(len(songs)) for j in range(i) if grams[i] & grams[j]])
 
 
-def test_clone_links_grow_with_the_songs(spark):
-    """A passage of all songs gives a link a song, where pairs would give the square; so do passages of many overlapping kinds."""
+def test_meetings_grow_with_the_songs(spark):
+    """A passage of all songs gives a meeting a song, where pairs would give the square; so do passages of many overlapping kinds."""
     rng = random.Random(2)
     text = lambda k: "".join(rng.choices("1234567", k=k))
     passages = [text(40) for _ in range(5)]
     songs = [(i, text(20) + rng.choice(passages)[rng.randint(0, 10) :] + text(20) + passages[0]) for i in range(600)]
-    n_links = [clones.clone_links(spark, spark.createDataFrame(songs[:n], "song_id long, digits string"), 24).count() for n in (150, 300, 600)]
+    n_links = [clones.meetings(spark, spark.createDataFrame(songs[:n], "song_id long, digits string"), 24).count() for n in (150, 300, 600)]
     assert n_links[2] <= 6 * 600 and n_links[2] < 2.5 * n_links[1] < 6.25 * n_links[0]
 
 
