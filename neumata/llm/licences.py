@@ -16,7 +16,8 @@ steps, each of which is one regular expression that Spark, DuckDB and Python rea
 from __future__ import annotations
 
 import re
-from functools import cache
+from collections import Counter
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 from neumata.llm.licence_texts import IDENTIFIERS, NAMES, RESERVED, TEXTS
 from neumata.llm.shared import let
 
-#: A text without any of these is not cut at all; every known sentence holds one.
-SPEAKS = r"(?i)licen[sc]e|copyright|software|permission|redistribut|rights reserved|spdx|cc0|public domain|(?:released|distributed|available|provided) under"
+#: What a sentence that is not known must hold to be counted.
+UNKNOWN = ("license", "licence", "copyright")
+#: Words of normalised sentences that need not stand in the text: NORMAL puts them in the place of names.
+PUT_IN = {"the", "copyright", "holder", "holders"}
 #: (pattern, replacement) of each step, in order: comment signs, what starts anew after a colon, sentence ends.
 STEPS = (
     (r"(^|\n)[ \t]*(?:/\*+|\*+/|\*+|//+|#+|--+|;+|%+|<!--|-->|dnl )[ \t]?", "$1"),
@@ -101,6 +104,27 @@ def single_rules() -> dict[str, str]:
     return out
 
 
+@cache
+def spoken() -> tuple[str, ...]:
+    """Words of which every known sentence, however it is wrapped or led in, and every sentence that counts as unknown holds one.
+
+    A word of a normalised sentence stands in the text as it is, in some case, unless NORMAL has put it in. A text
+    without any of these words has nothing to find, so it is not cut. Long words are preferred, as fewer texts hold them.
+    """
+    out = list(UNKNOWN)
+    rest = [set(s.split()) - PUT_IN for s in known() if not any(w in s.split() for w in UNKNOWN[:2])]
+    for least in (8, 4, 1):
+        while counts := Counter(w for words in rest for w in words if len(w) >= least):
+            out.append(max(counts, key=lambda w: (counts[w], len(w), w)))  # noqa: B023
+            rest = [words for words in rest if out[-1] not in words]
+    return tuple(out)
+
+
+def speaks(text: Column) -> Column:
+    """Whether a text holds any of ``spoken``."""
+    return let(F.lower(text), lambda x: reduce(Column.__or__, (x.contains(w) for w in spoken())))
+
+
 def _steps(text: Column, steps: tuple[tuple[str, str], ...]) -> Column:
     for pattern, replacement in steps:
         text = F.regexp_replace(text, pattern, replacement)
@@ -145,11 +169,11 @@ def found(text: Column) -> Column:
 
     def matched(lines: Column) -> Column:
         ids = F.array_join(F.transform(F.array_compact(F.transform(lines, lambda s: F.try_element_at(ids_of, s))), lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
-        unknown = F.size(F.filter(lines, lambda s: s.rlike("licen[sc]e|copyright") & F.try_element_at(ids_of, s).isNull()))
+        unknown = F.size(F.filter(lines, lambda s: s.rlike("|".join(UNKNOWN)) & F.try_element_at(ids_of, s).isNull()))
         return let(ids, lambda x: F.struct(x.alias("sentence_ids"), unknown.cast("long").alias("n_unknown"), named(x).alias("licences")))
 
     nothing = F.struct(F.lit("").alias("sentence_ids"), F.lit(0).cast("long").alias("n_unknown"), F.array().cast("array<string>").alias("licences"))
-    return F.when(text.rlike(SPEAKS), let(sentences(text), matched)).otherwise(nothing)
+    return F.when(speaks(text), let(sentences(text), matched)).otherwise(nothing)
 
 
 def licensed(docs: DataFrame) -> DataFrame:
@@ -190,7 +214,7 @@ WITH cut AS (
     SELECT doc_id, lines, list_transform(lines, lambda s: map_extract({table(known())}, s)[1]) AS found FROM parted
 ), r0 AS (
     SELECT doc_id, array_to_string(list_transform(list_filter(found, lambda i: i IS NOT NULL), lambda i: '<' || i || '>'), '') AS ids, ids AS rest, CAST([] AS VARCHAR[]) AS names,
-           len(list_filter(list_zip(lines, found), lambda z: regexp_matches(z[1], 'licen[sc]e|copyright') AND z[2] IS NULL)) AS n_unknown
+           len(list_filter(list_zip(lines, found), lambda z: regexp_matches(z[1], '{"|".join(UNKNOWN)}') AND z[2] IS NULL)) AS n_unknown
     FROM named
 ){layers}
 SELECT doc_id, ids AS sentence_ids, n_unknown, array_to_string(list_sort(list_distinct(list_concat(names, list_filter(list_transform(
