@@ -3,9 +3,9 @@
 Three base patterns find assignments, access keys and long hex strings. Besides, every
 maximal run of hex characters and of base64 characters is searched by a sliding window:
 the Shannon entropy of WINDOW characters is kept up to date by the counts of the one
-character that enters and the one that leaves. Placeholders and separate plain words are
-taken out of a run first; a run whose best window of what is left is over its character
-class's threshold is a span of its own, unless the run as a whole is allowed.
+character that enters and the one that leaves. A run is parted at placeholders and
+separate plain words, and each part is searched by itself; a run with a window over its
+character class's threshold is a span of its own, unless the run as a whole is allowed.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ ALLOWED = (
     r"^(?i:[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12})$"
     rf"|^{PLAIN}(?:[-_/]{PLAIN})*[0-9]{{0,4}}$|^[0-9+/_=-]+$"
 )
-#: Parts of a run that say nothing for or against what stands beside them: placeholders, counting and keyboard runs, separate plain words.
+#: What parts a run, and says nothing for or against what stands beside it: placeholders, counting and keyboard runs, separate plain words.
 BESIDE = (
     "(?i:example|sample|placeholder|changeme|dummy|redacted|0123456789|1234567890|abcdefgh|qwerty)"
     rf"|(?<![0-9A-Za-z])[A-Z]?[a-z]{{3,{WINDOW - 2}}}[0-9]{{0,4}}(?![0-9A-Za-z])"
@@ -138,9 +138,9 @@ def find_spans(text: Column) -> Column:
     for rank, (kind, (pattern, least)) in enumerate(CLASSES.items(), len(BASE)):
         hex_pattern = CLASSES["entropy_hex"][0]
         beside = BESIDE if kind == "entropy_hex" else f"{hex_pattern}|{BESIDE}"  # hex runs are judged as such
-        judged = lambda m: let(
-            F.regexp_replace(m["secret"], beside, ""),  # noqa: B023
-            lambda rest: F.when(F.length(rest) >= WINDOW, entropy_peak(rest) >= least).otherwise(False),  # noqa: B023
+        judged = lambda m: F.exists(
+            F.split(m["secret"], beside, -1),  # noqa: B023
+            lambda part: F.when(F.length(part) >= WINDOW, entropy_peak(part) >= least).otherwise(False),  # noqa: B023
         )
         runs = F.filter(_matches(text, pattern, 0), lambda m: ~m["secret"].rlike(ALLOWED))
         spans = F.transform(F.filter(runs, judged), lambda m: _span(m, F.lit(rank)))  # noqa: B023
@@ -184,8 +184,8 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; names of assignments stay.
 
     Overlapping secrets become one mark. A column n_chars follows the new text. Texts
-    without secrets, null ones too, stay as they are; repeated rows repeat; an empty
-    table gives an empty result.
+    without secrets, null ones too, stay as they are; texts of any length are read whole;
+    repeated rows repeat; an empty table gives an empty result; columns of any names stay.
     """
 
     def cover(spans: Column) -> Column:

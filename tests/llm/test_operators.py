@@ -162,6 +162,19 @@ def test_quality_rules(spark, docs):
     assert quality_rules.keep_good(docs).count() == kept and quality_rules.keep_good(docs).columns == docs.columns
 
 
+def test_cascade_order_by_worth(spark, docs, monkeypatch):
+    """Costs are of measures, paid once; rules nearly as good as the best go as listed; reruns with the same costs agree."""
+    costs = {"n_words": 0.02, "word_chars": 0.1, "n_symbols": 0.4, "n_marks": 0.4, "n_lines": 0.1, "n_dup_lines": 0.2, "n_repeat_words": 2.0}
+    monkeypatch.setattr(quality_rules, "measured_costs", lambda sample, names: {n: costs[n] for n in names})
+    rows = [(k, "one two three", None, None, None, None, 1) for k in range(40)] + [(100 + k, "ab " * 60, None, None, None, None, 1) for k in range(200)]
+    table = spark.createDataFrame(rows, DOCS)
+    runs = [quality_rules.measured_cascade(table) for _ in range(2)]
+    assert [[r.name for r, _, _ in run] for run in runs][0] == [r.name for r, _, _ in runs[1]]
+    order = {rule.name: (k, cost, share) for k, (rule, cost, share) in enumerate(runs[0])}
+    assert order["few_words"][0] == 0 and order["repeats"][0] == 1 and abs(order["repeats"][1] - 2.0) < 1e-9  # n_words is paid already
+    assert abs(order["repeats"][2] - 1.0) < 1e-9
+
+
 def test_cascade_order_changes_no_verdict(docs):
     a = quality_rules.judged(docs).select("doc_id", "kept").collect()
     b = quality_rules.judged(docs, tuple(reversed(quality_rules.RULES))).select("doc_id", "kept").collect()
@@ -332,6 +345,48 @@ def test_licences(spark):
     assert [sentences[i] for i in plain] == [python[i] for i in plain]
 
 
+def plain_licences(text):
+    """sentence_ids of a text: a line that is a known sentence stands apart, then the text is cut and looked up."""
+    for step in licences.STEPS:
+        text = licences._python(*step, text)
+    lines = [f"\n{x}\n" if licences.normal(x) in licences.known() else x for x in text.split("\n")]
+    found = (licences.known().get(licences.normal(s)) for s in re.split(licences.BREAK, "\n".join(lines)))
+    return "".join(f"<{i}>" for i in found if i)
+
+
+def test_every_known_sentence_is_found_however_it_is_wrapped(spark):
+    import duckdb
+    import pandas as pd
+    from neumata.llm.licence_texts import IDENTIFIERS, NAMES, RESERVED, TEXTS
+
+    raw = []
+    for text, _ in TEXTS.values():
+        for step in licences.STEPS:
+            text = licences._python(*step, text)
+        raw += [" ".join(s.split()) for s in re.split(licences.BREAK, text) if s.strip()]
+    raw += [f"{lead} the {name}." for name in NAMES for lead in ("Released under", "This file is licensed under the terms of", "Available under", "The code is provided under")]
+    raw += [f"SPDX-License-Identifier: {name}" for name in [*TEXTS, *NAMES.values(), *IDENTIFIERS]] + [f"{s}." for s in RESERVED]
+    raw += [s.replace("the copyright holder", "Acme, Inc.").replace("THE COPYRIGHT HOLDER OR CONTRIBUTORS", "ACME").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "ACME") for s in raw if "copyright holder" in s.lower()]
+    blanks = ("\n", "  ", " \n ", "\n * ", "\n\t", "\n# ", "\ndnl ", "\r\n")
+    texts = sorted({re.sub(" +", blank, s) for s in raw for blank in blanks} | {x for s in raw for x in (s, s.upper(), s.lower())})
+    texts += [f"Some words before. {s}\n\nAnd after it." for s in raw]
+    table = pd.DataFrame({"doc_id": range(len(texts)), "text": texts})
+    got = {r.doc_id: (r.sentence_ids, r.n_unknown, ",".join(r.licences)) for r in licences.licensed(spark.createDataFrame(table)).collect()}
+    assert {i: g[0] for i, g in got.items()} == {i: plain_licences(t) for i, t in enumerate(texts)}
+    con = duckdb.connect()
+    con.register("documents", table)
+    assert got == {i: (ids, n, names) for i, ids, n, names in con.sql(f"SELECT doc_id, sentence_ids, n_unknown, licences FROM ({licences.sql()})").fetchall()}
+    ids = {i for g in got.values() for i in re.findall("<([^>]*)>", g[0])}
+    assert ids == set(licences.known().values())
+
+
+def test_what_a_known_sentence_must_hold(spark):
+    samples = ["Released\nunder the MIT.", "This notice may not be removed or altered from any source distribution.", "An odd LICENCE.", "no such thing", "", "Copyright"]
+    table = spark.createDataFrame(list(enumerate(samples)), "doc_id long, text string")
+    assert [r.s for r in table.orderBy("doc_id").select(licences.speaks(F.col("text")).alias("s")).collect()] == [True, True, True, False, False, True]
+    assert all(any(w in s for w in licences.spoken()) for s in licences.known())
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((12, 16))
@@ -484,18 +539,18 @@ def test_permutation(n):
 
 
 def plain_entropy_spans(text):
-    """Runs of each character class whose best window of what is left of them is over the threshold, counted anew at each place."""
+    """Runs of each character class, parted at what is allowed, with a window over the threshold, counted anew at each place."""
     out = []
     for kind, (pattern, least) in secrets.CLASSES.items():
         beside = secrets.BESIDE if kind == "entropy_hex" else f"{secrets.CLASSES['entropy_hex'][0]}|{secrets.BESIDE}"
         for m in re.finditer(pattern, text or ""):
             if re.search(secrets.ALLOWED, m[0]):
                 continue
-            rest = re.sub(beside, "", m[0])
             peaks = []
-            for k in range(len(rest) - 19):
-                counts = Counter(rest[k : k + 20]).values()
-                peaks.append(round(-sum(c / 20 * np.log2(c / 20) for c in counts), 9))
+            for part in re.split(beside, m[0]):
+                for k in range(len(part) - 19):
+                    counts = Counter(part[k : k + 20]).values()
+                    peaks.append(round(-sum(c / 20 * np.log2(c / 20) for c in counts), 9))
             if peaks and max(peaks) >= least:
                 out.append(f"{kind}:{m.start()}:{m.end()}")
     return sorted(out)
@@ -539,6 +594,15 @@ def test_secrets_beside_words_and_signs(spark):
     assert not any(x[-20:] in r.text for x, r in zip(found, rows, strict=False))
 
 
+def test_windows_of_secrets_stand_in_the_text(spark):
+    rng = random.Random(8)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    texts = ["aB3dE5fG7h-example-kL9mN1pQ2r", "aB3dE5fG7h kL9mN1pQ2r", "aB3dE5fG7h-kL9mN1pQ2r", f"{key(24)}-example-{key(5)}", f"{key(5)}_placeholder_{key(5)}-word-{key(26)}"]
+    got = [r.spans for r in secrets.counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert [bool(s) for s in got] == [False, False, True, True, True]
+    assert [s.split(",") if s else [] for s in got] == [plain_entropy_spans(t) for t in texts]
+
+
 def plain_fingerprint(text):
     words = words_of(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
