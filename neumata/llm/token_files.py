@@ -39,9 +39,9 @@ BLOCK = 512
 END = 1
 VOCABULARY = "word_bpe_49k"
 #: Ids at which a shard is closed, with the document that reaches them.
-SHARD_TOKENS = 1 << 22
-#: Words that a worker remembers, and the longest it does.
-MEMORY, LONGEST = 500_000, 64
+SHARD_TOKENS = 1 << 21
+#: Words that a worker remembers; beyond it forgets all. Bytes of text that it encodes at a time.
+MEMORY, STEP = 1_000_000, 8 << 20
 TABLE = "task int, shard int, n_docs long, n_tokens long, payload binary"
 
 
@@ -151,55 +151,86 @@ class Shard:
         return out
 
 
+class Words:
+    """Ids of words, each encoded once by the tokenizers library and remembered until there are MEMORY of them."""
+
+    MARK = "<|endoftext|>"
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        self.mark_id = self.tokenizer.token_to_id(self.MARK)
+        self.last = np.zeros(1 << PLANES, bool)  # ids that end a word
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids, self.sizes = np.empty(0, np.uint16), np.empty(0, np.int32)
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
+
+    def _parted(self, words: list[str], blank: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that ``blank`` parts, and their numbers: a mark tells where a word ends, and so do the ids that end one."""
+        ids = self._encoded(blank.join(words))
+        if blank == self.MARK:
+            cuts = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+            return ids[ids != self.mark_id], np.diff(cuts, prepend=-1) - 1
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def learn(self, words: list[str]) -> None:
+        kinds: dict[str, list[str]] = {" ": [], self.MARK: [], "": []}
+        for w in words:
+            kinds["" if self.MARK in w else " " if w.isascii() and w.isalpha() else self.MARK].append(w)
+        ids, sizes = [self.ids], [self.sizes]
+        for blank, some in kinds.items():
+            step = 1000 if blank else 1
+            for at in range(0, len(some), step):
+                part = some[at : at + step]
+                x, n = self._parted(part, blank) if blank else (x := self._encoded(part[0]), np.array([len(x)]))
+                ids.append(x)
+                sizes.append(n.astype(np.int32))
+            self.number.update(zip(some, range(len(self.number), len(self.number) + len(some)), strict=True))
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of words among ``sizes``. Words of ASCII are taken in small letters, as the tokenizer does itself."""
+        keys = [w.lower() if w.isascii() and "<|" not in w else w for w in words]
+        fresh = [w for w in dict.fromkeys(keys) if w not in self.number]
+        if len(self.number) + len(fresh) > MEMORY or len(self.ids) > 16 * MEMORY:
+            self.forget()
+            fresh = list(dict.fromkeys(keys))
+        self.learn(fresh)
+        return np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+
+
 @cache
 def encoder(vocabulary: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """A function from texts to (their ids end to end, the number of ids of each).
 
-    The tokenizer drops ASCII blanks and takes nothing across them, so a text's ids are
-    those of its blank-separated words. Each different word of a batch is encoded once,
-    by the library, and remembered in bounded number; the rest is array work.
+    The tokenizer drops ASCII blanks and takes nothing across them, nor from a letter to
+    a sign after it, so a text's ids are those of its words. Each different word of a
+    batch is looked up once; the rest is array work.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import public_tokenizers
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    mark = "<|endoftext|>"
-    mark_id = tokenizer.token_to_id(mark)
-    memory: dict[str, bytes] = {}
-
-    def raw(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint16) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(words: list[str]) -> dict[str, bytes]:
-        plain = [w for w in words if mark not in w]
-        out = {w: ids.tobytes() for w, ids in zip(odd, raw(odd), strict=True)} if (odd := [w for w in words if mark in w]) else {}
-        for at in range(0, len(plain), 1000):
-            some = plain[at : at + 1000]
-            ids = raw([mark.join(some)])[0]  # a mark between words parts them, and its id tells where
-            cuts = np.flatnonzero(ids == mark_id)
-            ends = [*(2 * cuts).tolist(), 2 * len(ids)]
-            data = ids.tobytes()
-            out |= {w: data[low:high] for w, low, high in zip(some, [0, *(e + 2 for e in ends)], ends, strict=False)}
-        return out
+    words = Words(vocabulary)
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        words = lists.flatten().dictionary_encode()
-        index = words.indices.to_numpy(zero_copy_only=False)
-        names = words.dictionary.to_pylist()
-        fresh = learn([w for w in names if w not in memory])
-        coded = [memory[w] if w in memory else fresh[w] for w in names]
-        if len(memory) + len(fresh) > MEMORY:
-            memory.clear()
-        memory.update((w, ids) for w, ids in fresh.items() if len(w) <= LONGEST)
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 2
-        table, first = np.frombuffer(b"".join(coded), np.uint16), np.concatenate([[0], np.cumsum(sizes)])
-        per_word = sizes[index]
-        upto = np.concatenate([[0], np.cumsum(per_word)])
-        ids = table[np.repeat(first[index] - upto[:-1], per_word) + np.arange(upto[-1])]
-        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))])
-        return ids, np.diff(upto[bounds])
+        parted = pc.replace_substring_regex(pc.fill_null(texts, ""), "([A-Za-z])([.,;:!?])", r"\1 \2")
+        lists = pc.ascii_split_whitespace(parted)
+        coded = lists.flatten().dictionary_encode()
+        number = words.numbers(coded.dictionary.to_pylist())
+        first = np.cumsum(words.sizes, dtype=np.int32) - words.sizes
+        number = number[coded.indices.to_numpy(zero_copy_only=False)]
+        per_word = words.sizes[number]
+        upto = np.cumsum(per_word, dtype=np.int32)
+        at = np.repeat(first[number] - upto + per_word, per_word)
+        at += np.arange(len(at), dtype=np.int32)
+        bounds = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return words.ids[at], np.diff(np.append(0, upto)[bounds], prepend=0)
 
     return encode
 
@@ -237,7 +268,7 @@ def shards(docs: DataFrame, vocabulary: str = VOCABULARY, end: int = END, shard_
             payload = Shard.pack(names, lengths, np.concatenate(held))
             return pa.RecordBatch.from_pylist([{"task": task, "shard": shard, "n_docs": len(names), "n_tokens": n, "payload": payload}], schema=types)
 
-        for batch in (s for b in batches for s in _slices(b, 16 << 20)):
+        for batch in (s for b in batches for s in _slices(b, STEP)):
             ids, sizes = encode(batch["text"])
             ends = np.cumsum(sizes)
             with_ends = np.insert(ids, ends, np.uint16(end))

@@ -32,18 +32,29 @@ def docs(spark):
 
 ODD_TEXTS = [
     "Hello <|endoftext|> wor<|startoftext|>ld it's fine\x0b\x1c x", "", None, "É é ́a 日本 … ΑΣ ΣΑΣ İ 12345 don't'S", " a b c ", "x" * 300 + " " + "y" * 70,
-    "á e\ńx ᄀ ᅡ ffﬁ", "...!?  '' 's 'S 't", "<|endoftext|>", "\U0001f600 \U0001f468‍\U0001f469 ퟿ \x00 \x85 　 z",
+    "á e\ńx ᄀ ᅡ ffﬁ", "...!?  '' 's 'S 't", "<|endoftext|>", "<|ENDOFTEXT|> <|StartOfText|>x", "J\u030c j\u030c J.J?! a.b, c;'s.'S U.S.A. 3.5,x e.\u0301", "\U0001f600 \U0001f468‍\U0001f469 ퟿ \x00 \x85 　 z",
 ]
 
 
-def test_words_are_encoded_as_whole_texts(whole_tokenizer):
-    encode = token_files.encoder(token_files.VOCABULARY)
+@pytest.mark.parametrize("memory", [1_000_000, 20])
+def test_words_are_encoded_as_whole_texts(whole_tokenizer, monkeypatch, memory):
+    monkeypatch.setattr(token_files, "MEMORY", memory)
+    encode = token_files.encoder.__wrapped__(token_files.VOCABULARY)
     for _ in range(2):  # anew, and from memory
         ids, sizes = encode(pa.array(ODD_TEXTS))
         expected = [whole_tokenizer.encode(t or "", add_special_tokens=False).ids for t in ODD_TEXTS]
         assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
 
 
+def test_words_of_a_corpus_are_encoded_as_whole_texts(whole_tokenizer):
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].combine_chunks()
+    ids, sizes = token_files.encoder(token_files.VOCABULARY)(texts)
+    expected = [e.ids for e in whole_tokenizer.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+    assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+
+
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
 def test_shard_answers_without_decoding(n):
     rng = np.random.default_rng(n)
