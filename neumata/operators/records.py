@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from neumata.functions import tokens as T
 
@@ -58,13 +60,11 @@ def song_rules() -> dict[str, Column]:
 
 
 def first_of_each(rows: DataFrame, keys: list[str], order: list[str], k: int, salts: int = 64) -> DataFrame:
-    """The first ``k`` rows of each key by ``order``. Lists of k rows are made within salted parts first, so no group is gathered whole."""
-    rest = [c for c in rows.columns if c not in keys]
-    item = F.struct(*order, F.struct(*rest).alias("row"))
-    cut = lambda some: F.slice(F.array_sort(some), 1, k).alias("some")
-    part = rows.groupBy(*keys, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).alias("salt")).agg(cut(F.collect_list(item)))
-    whole = part.groupBy(*keys).agg(cut(F.flatten(F.collect_list("some"))))
-    return whole.select(*keys, F.explode("some").alias("s")).select(*keys, "s.row.*")
+    """The first ``k`` rows of each key by ``order``. Rows are numbered within salted parts first, of which tasks keep ``k`` a part
+    before they shuffle, and then what is left of a key, k a part: no group is gathered whole."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    first = lambda df, *by: df.withColumn("_nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_nth") <= k).drop("_nth")
+    return first(first(salted, *keys, "_salt").drop("_salt"), *keys).select(*keys, *(c for c in rows.columns if c not in keys))
 
 
 def added(a: Column, b: Column) -> Column:
@@ -198,28 +198,34 @@ def controls(text: Column) -> Column:
     return F.struct(given(last("#KEY")).alias("key"), metre.alias("metre"), given(last("#TEMPO")).alias("tempo"), F.trim(F.array_join(rest, "\n")).alias("body"))
 
 
-def wrapped(tokens: Column, width: int = 100) -> Column:
-    """Tokens in lines of ``width`` signs at most, as far as single tokens allow."""
+@F.pandas_udf(ArrayType(StringType()))
+def wrapped(tokens: pd.Series, width: pd.Series) -> pd.Series:
+    """Tokens in lines of ``width`` signs at most, as far as single tokens allow; one pass over each score, however long."""
 
-    def step(s: Column, t: Column) -> Column:
-        fits = (s["now"] == "") | (F.length(s["now"]) + 1 + F.length(t) <= width)
-        return F.struct(
-            F.when(fits, s["out"]).otherwise(F.array_append(s["out"], s["now"])).alias("out"),
-            F.when(s["now"] == "", t).when(fits, F.concat(s["now"], F.lit(" "), t)).otherwise(t).alias("now"),
-        )
+    def lines(some, most: int) -> list[str]:
+        out, now, n = [], [], 0
+        for t in some:
+            if now and n + 1 + len(t) > most:
+                out.append(" ".join(now))
+                now, n = [], 0
+            n += len(t) + (1 if now else 0)
+            now.append(t)
+        return [*out, " ".join(now)] if now else out
 
-    start = F.struct(F.array().cast("array<string>").alias("out"), F.lit("").alias("now"))
-    return F.aggregate(tokens, start, step, lambda s: F.when(s["now"] == "", s["out"]).otherwise(F.array_append(s["out"], s["now"])))
+    return pd.Series([None if t is None else lines(t, w) for t, w in zip(tokens, width, strict=True)])
 
 
 def chosen_page(pages: DataFrame, folder: str) -> DataFrame:
-    """(folder, name): the page of an image folder that holds the score: the largest file or, if that is landscape, the first
-    portrait page; pages of 100 pixels and less do not count. ``pages`` has name, number, width, height and size."""
+    """(folder, name): the page of an image folder that holds the score: on a site that begins with a title strip (``second_first``)
+    the page numbered 2; else the largest file or, if that is landscape, the first portrait page. Pages of 100 pixels and less do not
+    count. ``pages`` has name, number, width, height, size and second_first."""
     real = pages.where((F.col("width") > 100) & (F.col("height") > 100)).withColumn("portrait", 10 * F.col("height") >= 13 * F.col("width"))
     by_size = F.min_by(F.struct("name", "portrait"), F.struct((-F.col("size")).alias("s"), "number", "name"))
     first = F.min(F.when(F.col("portrait"), F.struct("number", "name")))
-    best = real.groupBy(folder).agg(by_size.alias("largest"), first.alias("first"))
-    return best.select(folder, F.when(F.col("largest.portrait") | F.col("first").isNull(), F.col("largest.name")).otherwise(F.col("first.name")).alias("name"))
+    second = F.min(F.when(F.col("second_first") & (F.col("number") == 2), F.col("name")))
+    best = real.groupBy(folder).agg(by_size.alias("largest"), first.alias("first"), second.alias("second"))
+    plain = F.when(F.col("largest.portrait") | F.col("first").isNull(), F.col("largest.name")).otherwise(F.col("first.name"))
+    return best.select(folder, F.coalesce("second", plain).alias("name"))
 
 
 def grouped_onsets(notes: Column, most: int) -> Column:
@@ -257,8 +263,8 @@ def is_note_band(tall_share: Column, tall: Column, underlines: Column) -> Column
 
 
 def geometry(beams: Column, low: Column, high: Column, dots: Column) -> Column:
-    """struct(beam, low, high, dot): marks of a note counted from its components, with 4, 3, 3 and 1 at most."""
-    return F.struct(*(F.least(c, F.lit(most)).alias(name) for name, c, most in (("beam", beams, 4), ("low", low, 3), ("high", high, 3), ("dot", dots, 1))))
+    """struct(beam, low, high, dot): marks of a note counted from its components, with 4, 3, 1 and 1 at most."""
+    return F.struct(*(F.least(c, F.lit(most)).alias(name) for name, c, most in (("beam", beams, 4), ("low", low, 3), ("high", high, 1), ("dot", dots, 1))))
 
 
 # The major keys along the circle of fifths, from C upward.

@@ -226,12 +226,12 @@ def twin_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("c_custkey", F.when(broken, F.coalesce("twin", "c_name")).otherwise(F.col("c_name")).alias("name"))
 
 
-@query("""SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R') AND p_size NOT IN (SELECT o_custkey % 50 FROM orders WHERE o_orderpriority = '1-URGENT')""")
+@query("""SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1) AND p_partkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def rescue_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is neither in the corpus nor set aside on purpose: two anti joins."""
-    held = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey"))
-    aside = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select((F.col("o_custkey") % 50).alias("p_size"))
-    return table(spark, sf_dir, "part").select("p_partkey", "p_size").join(held, "p_partkey", "left_anti").join(aside, "p_size", "left_anti").select("p_partkey")
+    held = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_partkey").alias("p_partkey"))
+    aside = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("p_partkey"))
+    return table(spark, sf_dir, "part").select("p_partkey").join(held, "p_partkey", "left_anti").join(aside, "p_partkey", "left_anti")
 
 
 LETTERS = "len(list_distinct(list_filter(string_split({}, ''), lambda x: x <> '')))"
@@ -366,14 +366,15 @@ def token_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(spark, sf_dir).select("song_id", "idx", "token", R.token_of(R.token_parts(t)).alias("again"), R.high_after(t).alias("high_after"), R.written_beats(t).alias("written"))
 
 
-@query("""WITH p AS (SELECT l_orderkey, l_linenumber AS number, 'p' || l_linenumber AS name, CAST(l_quantity * 40 AS INT) AS width, l_partkey % 2000 AS height, CAST(l_extendedprice AS BIGINT) AS size FROM lineitem),
+@query("""WITH p AS (SELECT l_orderkey, l_linenumber AS number, l_orderkey % 5 = 0 AS second_first, 'p' || l_linenumber AS name, CAST(l_quantity * 40 AS INT) AS width, l_partkey % 2000 AS height, CAST(l_extendedprice AS BIGINT) AS size FROM lineitem),
 real AS (SELECT *, 10 * height >= 13 * width AS portrait FROM p WHERE width > 100 AND height > 100), big AS (SELECT * FROM real QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY size DESC, number, name) = 1),
-tall AS (SELECT l_orderkey, arg_min(name, (number, name)) AS name FROM real WHERE portrait GROUP BY 1)
-SELECT l_orderkey, CASE WHEN b.portrait OR t.name IS NULL THEN b.name ELSE t.name END AS name FROM big b LEFT JOIN tall t USING (l_orderkey)""")
+tall AS (SELECT l_orderkey, arg_min(name, (number, name)) AS name FROM real WHERE portrait GROUP BY 1),
+two AS (SELECT l_orderkey, min(name) AS name FROM real WHERE second_first AND number = 2 GROUP BY 1)
+SELECT l_orderkey, CASE WHEN w.name IS NOT NULL THEN w.name WHEN b.portrait OR t.name IS NULL THEN b.name ELSE t.name END AS name FROM big b LEFT JOIN tall t USING (l_orderkey) LEFT JOIN two w USING (l_orderkey)""")
 def page_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber")
     pages = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", n.alias("number"), F.concat(F.lit("p"), n.cast("string")).alias("name"), F.round(F.col("l_quantity") * 40).cast("int").alias("width"), (F.col("l_partkey") % 2000).alias("height"), F.round("l_extendedprice").cast("long").alias("size")
+        "l_orderkey", n.alias("number"), (F.col("l_orderkey") % 5 == 0).alias("second_first"), F.concat(F.lit("p"), n.cast("string")).alias("name"), F.round(F.col("l_quantity") * 40).cast("int").alias("width"), (F.col("l_partkey") % 2000).alias("height"), F.round("l_extendedprice").cast("long").alias("size")
     )
     return R.chosen_page(pages, "l_orderkey")
 
@@ -429,12 +430,12 @@ def manifest_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(done, "o_custkey", "left_anti").select("o_orderkey")
 
 
-@query(f"""WITH {SONGS_SQL}, t AS (SELECT song_id, digits FROM songs WHERE length(digits) BETWEEN 1 AND 400)
-SELECT song_id, CAST(ceil(length(digits) / 50.0) AS BIGINT) AS lines, left(digits, 1) AS first FROM t""")
+@query(f"""WITH {SONGS_SQL}, lines AS (SELECT song_id, length(digits) AS n, unnest(range(greatest(CAST(ceil(length(digits) / 50.0) AS BIGINT), 1))) AS k, digits FROM songs)
+SELECT song_id, CASE WHEN n = 0 THEN 0 ELSE k + 1 END AS line, array_to_string(string_split(substr(digits, 50 * k + 1, 50), ''), ' ') AS body FROM lines""")
 def wrapped_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short scores as lines of 100 signs at most: 50 notes with their blanks."""
-    rows = songs(spark, sf_dir).where(F.length("digits").between(1, 400)).select("song_id", R.wrapped(melody.symbols(F.col("digits")), 100).alias("lines"))
-    return rows.select("song_id", F.size("lines").cast("long").alias("lines"), F.left(F.get("lines", F.lit(0)), F.lit(1)).alias("first"))
+    """All scores as lines of 100 signs at most: 50 notes with their blanks. A song without notes has one empty line, numbered 0."""
+    rows = songs(spark, sf_dir).select("song_id", F.posexplode_outer(R.wrapped(melody.symbols(F.col("digits")), F.lit(100))).alias("k", "body"))
+    return rows.select("song_id", F.coalesce(F.col("k") + 1, F.lit(0)).cast("long").alias("line"), F.coalesce("body", F.lit("")).alias("body"))
 
 
 @query("""WITH rows AS (SELECT l_orderkey AS page, l_linenumber AS row, l_partkey % 100 AS dark FROM lineitem), lit AS (SELECT *, dark > greatest(3, 0.4 * max(dark) OVER (PARTITION BY page)) AS text FROM rows),
@@ -454,7 +455,7 @@ def band_acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", R.is_note_band(tall_share, tall, lines).alias("accepted"))
 
 
-@query("""SELECT p_partkey, least(p_partkey % 3 * 2, 4) AS beam, least(p_partkey % 4, 3) AS low, least(p_partkey % 2 * 4, 3) AS high, least(p_partkey % 5, 1) AS dot FROM part""")
+@query("""SELECT p_partkey, least(p_partkey % 3 * 2, 4) AS beam, least(p_partkey % 4, 3) AS low, least(p_partkey % 2 * 4, 1) AS high, least(p_partkey % 5, 1) AS dot FROM part""")
 def geometry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Beams, low and high marks and dots of a note from its components, each up to its limit."""
     k = F.col("p_partkey")

@@ -21,9 +21,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Folders that ``folder`` has made, by application.
+_made: dict[str, list[str]] = {}
+
+
+def clean(spark: SparkSession) -> int:
+    """Delete all folders that ``folder`` made in this session, and say how many: to be called when results have been written, as
+    DataFrames returned before may read them."""
+    done = _made.pop(spark.sparkContext.applicationId, [])
+    for top in done:
+        path = spark._jvm.org.apache.hadoop.fs.Path(top)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(done)
+
+
 def folder(spark: SparkSession, name: str) -> Callable[[DataFrame, str], DataFrame]:
     """A function that writes a table into a new shared folder and reads it back: lineage ends there, and lost executors do no harm."""
     top = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(top)
 
     def keep(df: DataFrame, table: str) -> DataFrame:
         df.write.parquet(f"{top}/{table}")

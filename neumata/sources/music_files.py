@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-MIDI_EVENTS = "path string, track int, onset long, duration long, pitch int, ticks_per_quarter int"
-ABC_EVENTS = "path string, tune int, position int, onset double, duration double, degree int, accidental int, octave int"
+from neumata.sources import abc
+
+MIDI_EVENTS = "path string, track int, onset long, duration long, pitch int, ticks_per_quarter int, problem string"
 
 
 def _number(data: bytes, at: int) -> tuple[int, int]:
@@ -64,50 +65,31 @@ def midi_notes(data: bytes) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-ABC_NOTE = re.compile(r"(\^{1,2}|_{1,2}|=)?([A-Ga-gz])([,']*)(\d*)(/*)(\d*)")
-
-
-def abc_notes(tune: str) -> list[tuple[int, float, float, int | None, int, int]]:
-    """(position, onset, duration, degree from C, accidental, octave) of a tune's body, in unit lengths; rests have no degree."""
-    body = "\n".join(x for x in tune.splitlines() if not re.match(r"[A-Za-z+]:|%", x))
-    body = re.sub(r'"[^"]*"|![^!]*!|\{[^}]*\}|\[[A-Za-z]:[^\]]*\]', "", body)
-    out, now = [], 0.0
-    for k, m in enumerate(ABC_NOTE.finditer(body)):
-        sign, name, marks, up, slashes, down = m.groups()
-        length = int(up or 1) / (int(down) if down else 2 ** len(slashes) if slashes else 1)
-        accidental = {"^": 1, "_": -1}.get((sign or "=")[0], 0)
-        octave = (name.islower() and name != "z") + marks.count("'") - marks.count(",")
-        out.append((k, now, length, None if name == "z" else "CDEFGAB".index(name.upper()) + 1, accidental, int(octave)))
-        now += length
-    return out
-
-
 def read_midi(spark: SparkSession, path: str) -> DataFrame:
-    """Note rows of all MIDI files under ``path``; a file that breaks off gives no rows."""
+    """Note rows of all MIDI files under ``path``; a file that is none, or breaks off, gives one row with the problem."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for name, content in zip(pdf["path"], pdf["content"], strict=True):
+                data = bytes(content)
                 try:
-                    rows += [(name, *note) for note in midi_notes(bytes(content))]
-                except IndexError:  # cut short
-                    continue
-            yield pd.DataFrame(rows, columns=["path", "track", "onset", "duration", "pitch", "ticks_per_quarter"])
+                    if not data.startswith(b"MThd"):
+                        raise ValueError("no MIDI file")
+                    rows += [(name, *note, None) for note in midi_notes(data)]
+                except IndexError:
+                    rows.append((name, None, None, None, None, None, "file breaks off"))
+                except ValueError as why:
+                    rows.append((name, None, None, None, None, None, str(why)))
+            columns = ["path", "track", "onset", "duration", "pitch", "ticks_per_quarter", "problem"]
+            yield pd.DataFrame(rows, columns=columns).astype({c: "Int64" for c in columns[1:6]})
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, MIDI_EVENTS)
 
 
 def read_abc(spark: SparkSession, path: str) -> DataFrame:
-    """Note rows of all tunes (each from an ``X:`` line on) of the ABC files under ``path``."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for name, content in zip(pdf["path"], pdf["content"], strict=True):
-                tunes = re.split(r"(?m)^(?=X:)", bytes(content).decode("utf-8", "replace"))
-                rows += [(name, k, *note) for k, tune in enumerate(t for t in tunes if t.startswith("X:")) for note in abc_notes(tune)]
-            out = pd.DataFrame(rows, columns=["path", "tune", "position", "onset", "duration", "degree", "accidental", "octave"])
-            yield out.astype({"degree": "Int32"})
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, ABC_EVENTS)
+    """(path, tune from 0, tune's events) of all tunes of the ABC files under ``path``; see ``abc.events``."""
+    texts = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("text"))
+    tunes = F.filter(F.split("text", r"(?m)^(?=X:)", -1), lambda t: t.startswith("X:"))
+    rows = texts.select("path", F.posexplode(tunes).alias("tune", "body"))
+    return rows.lateralJoin(abc.AbcEvents(F.col("body").outer())).drop("body")
