@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.functions import durations
+from neumata.functions import alignment, durations
 from neumata.operators import repeats, versions
 from neumata.plans.base import SONGS_SQL, query, songs, table
 from neumata.sources import abc
@@ -98,3 +98,18 @@ def name_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("digest"), F.col("c_name").alias("name"))
     new = table(spark, sf_dir, "supplier").select(F.when(F.col("s_suppkey") % 3 == 0, 0).otherwise(F.col("s_nationkey")).alias("digest"), F.col("s_name").alias("name"))
     return versions.claims(spark, old, new)
+
+
+LETTERS_SQL = "lower(regexp_replace({}, '[^A-Za-z]', '', 'g'))"
+
+
+@query(f"""WITH n AS (SELECT p_partkey, {LETTERS_SQL.format("p_name")} AS a, {LETTERS_SQL.format("p_name || p_type")} AS b, {LETTERS_SQL.format("reverse(p_name)")} AS c FROM part)
+SELECT p_partkey, CAST(levenshtein(a, b) AS BIGINT) AS longer_edits, CAST(length(b) - length(a) AS BIGINT) AS longer_extra, CAST(levenshtein(a, c) AS BIGINT) AS turned_edits FROM n""")
+def transcription_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names as notes (each letter a degree in one of four octaves) against a longer reading and one from behind; kinds of errors
+    are tested against the whole table of the dynamic programme."""
+    notes = lambda c: F.transform(F.filter(F.split(F.lower(F.regexp_replace(c, "[^A-Za-z]", "")), ""), lambda x: x != ""), lambda x: (F.ascii(x) - 97) % 7 + 1 + 8 * F.floor((F.ascii(x) - 97) / 7))
+    name = F.col("p_name")
+    rows = table(spark, sf_dir, "part").select("p_partkey", notes(name).alias("true"), notes(F.concat(name, "p_type")).alias("longer"), notes(F.reverse(name)).alias("turned"))
+    both = rows.select("p_partkey", alignment.transcription_errors("true", "longer").alias("l"), alignment.transcription_errors("true", "turned").alias("t"))
+    return both.select("p_partkey", F.col("l.edits").alias("longer_edits"), (F.col("l.extra") - F.col("l.missing")).alias("longer_extra"), F.col("t.edits").alias("turned_edits"))
