@@ -1,11 +1,13 @@
 """Quality rules as a short-circuit cascade, in built-in column functions only.
 
-Each rule is a predicate over measures of the text. On a bounded sample every rule is
+Each rule is a predicate over measures of the text. On a bounded sample every measure is
 timed, and it is noted which rules reject which documents. The first rule is the one of
 most rejection per cost; each next one is the best for the documents that the rules
-before it leave over. They stand in one CASE expression in that order, so a document
-stops at the first rule that rejects it, measures no rule has asked for are not taken,
-and the dear rules see few documents. The order changes the work, never the verdict.
+before it leave over, and pays only for measures that none before has taken. Rules that
+are nearly as good as the best go in the order they are listed in. They stand in one
+CASE expression in that order, so a document stops at the first rule that rejects it,
+measures no rule has asked for are not taken, and the dear rules see few documents. The
+order changes the work, never the verdict.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 from neumata.llm.shared import Scratch, let, words_of
 
 GRAM = 5
-SAMPLE_ROWS = 4_000
-#: Seconds below which rules cost the same.
-LEAST_COST = 1e-3
+SAMPLE_ROWS = 2_000
+#: Seconds below which measures cost the same, runs of which the shortest counts, and how far below the best a rule is nearly as good.
+LEAST_COST, TRIES, NEARLY = 0.02, 3, 4.0
 
 Measured = Callable[[str], Column]
 
@@ -72,19 +74,20 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
 
 @dataclass(frozen=True)
 class Rule:
-    """rejects: whether, over the measures of a text."""
+    """rejects: whether, over the measures of a text, which ``measures`` names."""
 
     name: str
     rejects: Callable[[Measured], Column]
+    measures: tuple[str, ...]
 
 
 RULES = (
-    Rule("few_words", lambda m: m("n_words") < 10),
-    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words"))),
-    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
-    Rule("marks", lambda m: 2 * m("n_marks") > m("n_words")),
-    Rule("dup_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines")),
-    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words")),
+    Rule("few_words", lambda m: m("n_words") < 10, ("n_words",)),
+    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words")), ("word_chars", "n_words")),
+    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words"), ("n_symbols", "n_words")),
+    Rule("marks", lambda m: 2 * m("n_marks") > m("n_words"), ("n_marks", "n_words")),
+    Rule("dup_lines", lambda m: 2 * m("n_dup_lines") > m("n_lines"), ("n_dup_lines", "n_lines")),
+    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 20 * m("n_words"), ("n_repeat_words", "n_words")),
 )
 BASE = ("few_words", "repeats")
 
@@ -97,35 +100,48 @@ def verdict(m: Measured, rules: tuple[Rule, ...]) -> Column:
     return first
 
 
+def measured_costs(sample: DataFrame, names: list[str], tries: int = TRIES) -> dict[str, float]:
+    """Seconds that each measure takes over a sample, beyond reading it and splitting its words, which every document is spared or
+    pays once: the shortest of ``tries`` runs, and LEAST_COST at least."""
+    text = F.col("text")
+
+    def seconds(column: Column) -> float:
+        began = time.perf_counter()
+        sample.agg(F.max(column)).collect()
+        return time.perf_counter() - began
+
+    of = lambda name: let(words_of(text), lambda words: MEASURES[name](text, words) if name else F.size(words))
+    runs = {name: min(seconds(of(name)) for _ in range(tries)) for name in ("", *names)}
+    return {name: max(runs[name] - runs[""], LEAST_COST) for name in names}
+
+
 def measured_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
     """The rules in order, each with its cost in seconds over the sample and the share of the documents that come to it it rejects.
 
     The sample is about ``sample_rows`` documents chosen by a hash of doc_id, twice as many
-    at most, written to the shared folder once. An empty sample leaves the given order.
+    at most, written to the shared folder once. An empty sample leaves the given order. Costs
+    are measured, so the order of rules that differ by NEARLY or so may change between runs.
     """
     scratch = Scratch(docs.sparkSession, "rules")
     share = min(1.0, sample_rows / max(1, docs.count()))
     drawn = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     sample = scratch.keep(drawn.limit(2 * sample_rows), "sample")
-    of = lambda rule: let(words_of(F.col("text")), lambda words: rule.rejects(lambda name: MEASURES[name](F.col("text"), words)))
-    flags = sample.groupBy(*(of(rule).alias(rule.name) for rule in rules)).agg(F.count("*").alias("n")).collect()  # 2 ** rules rows at most
-
-    def seconds(column: Column) -> float:
-        began = time.perf_counter()
-        sample.agg(F.max(column)).collect()
-        return time.perf_counter() - began
-
-    reading = seconds(F.length("text"))
-    cost = {rule.name: max(seconds(of(rule)) - reading, LEAST_COST) for rule in rules}
+    of = lambda rule, words: rule.rejects(lambda name: MEASURES[name](F.col("text"), words))
+    judged = let(words_of(F.col("text")), lambda words: F.struct(*(of(rule, words).alias(rule.name) for rule in rules)))
+    flags = sample.groupBy(judged.alias("r")).agg(F.count("*").alias("n")).select("r.*", "n").collect()  # 2 ** rules rows at most
+    cost = measured_costs(sample, sorted({name for rule in rules for name in rule.measures})) if flags else {}
     scratch.drop()
-    order, left = [], [row.asDict() for row in flags]
+    order, left, taken = [], [row.asDict() for row in flags], set()
     rest = list(rules)
     while rest:
         seen = sum(row["n"] for row in left)
         caught = {rule.name: sum(row["n"] for row in left if row[rule.name]) for rule in rest}
-        best = max(rest, key=lambda rule: (caught[rule.name] / cost[rule.name], -cost[rule.name])) if seen else rest[0]
-        order.append((best, cost[best.name], caught[best.name] / seen if seen else 0.0))
+        dear = {rule.name: max(sum(cost.get(name, 0.0) for name in rule.measures if name not in taken), LEAST_COST) for rule in rest}
+        worth = {rule.name: caught[rule.name] / dear[rule.name] for rule in rest}
+        best = next(rule for rule in rest if worth[rule.name] * NEARLY >= max(worth.values()))
+        order.append((best, dear[best.name], caught[best.name] / seen if seen else 0.0))
         rest.remove(best)
+        taken |= set(best.measures)
         left = [row for row in left if not row[best.name]]
     return order
 
@@ -139,7 +155,7 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Null, empty and very short texts are rejected; texts of any length are read whole.
     Repeated rows are judged alike, and all stay or go. An empty table gives an empty
-    result. The cascade is evaluated lazily within the filter.
+    result. Columns of any names stay. The cascade is evaluated lazily within the filter.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     order = cascade_order(docs, rules)
@@ -156,7 +172,8 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     GIVEN measures are results, so they are taken of every row; the cascade asks for the
     others only of documents that come as far. A null text counts as empty: all measures
-    0, base_failed true. Repeated rows repeat; an empty table gives an empty result.
+    0, base_failed true. Texts of any length are read whole. Repeated rows repeat; an empty
+    table gives an empty result. Columns beyond doc_id and text are ignored, whatever their names.
     """
     order = cascade_order(docs, rules)
     text = F.coalesce(F.col("text"), F.lit(""))
