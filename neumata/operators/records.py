@@ -77,17 +77,24 @@ def removed(a: Column, b: Column) -> Column:
     return F.filter(a, lambda x: ~F.array_contains(b, x))
 
 
-def implied_tags(tags: Column, closure: dict[str, list[str]]) -> Column:
-    """Tags with all they imply, less those negated (``!tag``) and all that imply these; in order, without repeats.
+def implied_tags(rows: DataFrame, key: str, closure: DataFrame) -> DataFrame:
+    """(key, tags): the tags of each row with all they imply, less those negated (``!tag``) and all that imply these; in order of the
+    tags given, each before what it implies, the nearest first, without repeats.
 
-    ``closure`` gives each tag's ancestors, the nearest first.
+    ``rows`` has tags, an array; ``closure`` (ancestor, child, depth) is any table of what implies what, as ``corpus.closure`` gives it.
+    Only a row's own tags and their ancestors meet in one place.
     """
-    up = F.create_map(*(x for tag, above in closure.items() for x in (F.lit(tag), F.array(*map(F.lit, above)).cast("array<string>"))))
-    with_all = lambda t: F.concat(F.array(t), F.coalesce(F.try_element_at(up, t), F.array().cast("array<string>")))
-    kept = F.filter(tags, lambda t: ~t.startswith("!"))
-    gone = F.transform(F.filter(tags, lambda t: t.startswith("!")), lambda t: F.substring(t, 2, F.length(t)))
-    every = F.array_distinct(F.flatten(F.transform(kept, with_all)))
-    return F.filter(every, lambda t: ~F.arrays_overlap(with_all(t), gone))
+    given = rows.select(key, F.posexplode("tags").alias("at", "tag"))
+    kept = given.where(~F.col("tag").startswith("!"))
+    gone = given.where(F.col("tag").startswith("!")).select(key, F.expr("substring(tag, 2)").alias("gone")).distinct()
+    up = closure.groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
+    above = kept.join(up, kept["tag"] == up["child"]).select(key, "at", F.col("ancestor").alias("tag"), "depth")
+    every = kept.select(key, "at", "tag", F.lit(0).alias("depth")).unionByName(above).groupBy(key, "tag").agg(F.min(F.struct("at", "depth")).alias("place"))
+    implies = up.select(F.col("child").alias("tag"), F.col("ancestor").alias("gone"))
+    out = every.join(implies, "tag").join(gone, [key, "gone"]).select(key, "tag").union(gone.select(key, F.col("gone").alias("tag"))).distinct()
+    left = every.join(out, [key, "tag"], "left_anti").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("place", "tag"))).alias("t"))
+    none = F.array().cast("array<string>")
+    return rows.select(key).join(left, key, "left").select(key, F.coalesce(F.transform("t", lambda x: x["tag"]), none).alias("tags"))
 
 
 def identifier_tier(title: Column, found: Column, artist_fits: Column, score: Column) -> Column:

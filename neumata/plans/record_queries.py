@@ -267,14 +267,21 @@ def tag_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(F.array_distinct(F.array_compact(F.array(page, batch, title))), ",").alias("tags"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN '' WHEN p_partkey % 4 = 1 THEN 'song,pop,ballad' WHEN p_partkey % 4 = 2 THEN 'ballad,pop,song,folk' ELSE 'song' END AS tags FROM part""")
+@query("""WITH RECURSIVE edges AS (SELECT DISTINCT lower(left(p_brand, 7)) AS parent, p_brand AS child FROM part UNION ALL SELECT DISTINCT p_brand, p_type FROM part
+), closure AS (SELECT parent AS ancestor, child, 1 AS depth FROM edges UNION ALL SELECT c.ancestor, e.child, depth + 1 FROM closure c JOIN edges e ON c.child = e.parent
+), up AS (SELECT ancestor, child, min(depth) AS depth FROM closure GROUP BY ALL
+), given AS (SELECT p_partkey, p_type AS tag, 0 AS i FROM part UNION ALL SELECT p_partkey, 's' || p_size, 1 FROM part
+), gone AS (SELECT p_partkey, p_brand AS gone FROM part WHERE p_size % 2 = 0
+), every AS (SELECT p_partkey, tag, min((i, depth)) AS place FROM (SELECT p_partkey, tag, i, 0 AS depth FROM given UNION ALL SELECT p_partkey, ancestor, i, depth FROM given JOIN up ON child = tag) GROUP BY 1, 2
+), kept AS (SELECT * FROM every e WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.p_partkey = e.p_partkey AND (g.gone = e.tag OR EXISTS (SELECT 1 FROM up WHERE child = e.tag AND ancestor = g.gone))))
+SELECT p.p_partkey, coalesce(string_agg(tag, ',' ORDER BY place, tag), '') AS tags FROM part p LEFT JOIN kept k ON p.p_partkey = k.p_partkey GROUP BY 1""")
 def tag_negation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tags with what they imply, less what is negated and what implies it."""
-    above = {"ballad": ["pop", "song"], "pop": ["song"], "folk": ["song"]}
-    listed = lambda *v: F.array(*map(F.lit, v))
-    k = F.col("p_partkey") % 4
-    given = F.when(k == 0, listed("ballad", "!song")).when(k == 1, listed("song", "pop", "ballad")).when(k == 2, listed("ballad", "folk")).otherwise(listed("ballad", "song", "!pop"))
-    return table(spark, sf_dir, "part").select("p_partkey", F.array_join(R.implied_tags(given, above), ",").alias("tags"))
+    """Types of parts as tags that imply every brand that has them, and so the brand's family; every other part negates its brand."""
+    part = table(spark, sf_dir, "part")
+    edges = part.select(F.lower(F.left("p_brand", F.lit(7))).alias("parent"), F.col("p_brand").alias("child")).distinct().union(part.select("p_brand", "p_type").distinct())
+    tags = F.array_compact(F.array("p_type", F.concat(F.lit("s"), F.col("p_size").cast("string")), F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("!"), "p_brand"))))
+    out = R.implied_tags(part.select("p_partkey", tags.alias("tags")), "p_partkey", corpus.closure(spark, edges))
+    return out.select("p_partkey", F.array_join("tags", ",").alias("tags"))
 
 
 @query(r"""WITH t AS (SELECT page_id, url, lower(regexp_replace(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')), '[\s\-_.,]+', '', 'g')) AS title FROM pages),

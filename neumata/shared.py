@@ -21,12 +21,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-#: Folders that ``folder`` has made, by application.
+#: Folders made for scratch tables, by application.
 _made: dict[str, list[str]] = {}
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a new folder for scratch tables, which ``clean`` will delete."""
+    top = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(top)
+    return top
+
+
 def clean(spark: SparkSession) -> int:
-    """Delete all folders that ``folder`` made in this session, and say how many: to be called when results have been written, as
+    """Delete all folders of scratch tables of this session, and say how many: to be called when results have been written, as
     DataFrames returned before may read them."""
     done = _made.pop(spark.sparkContext.applicationId, [])
     for top in done:
@@ -37,8 +44,7 @@ def clean(spark: SparkSession) -> int:
 
 def folder(spark: SparkSession, name: str) -> Callable[[DataFrame, str], DataFrame]:
     """A function that writes a table into a new shared folder and reads it back: lineage ends there, and lost executors do no harm."""
-    top = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.setdefault(spark.sparkContext.applicationId, []).append(top)
+    top = new_folder(spark, name)
 
     def keep(df: DataFrame, table: str) -> DataFrame:
         df.write.parquet(f"{top}/{table}")

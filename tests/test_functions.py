@@ -407,9 +407,24 @@ def test_first_of_each_and_tags(spark):
     rows = spark.createDataFrame([(k % 2, 100 - k) for k in range(60)], "key long, v long")
     got = records.first_of_each(rows, ["key"], ["v"], 3).collect()
     assert sorted((r.key, r.v) for r in got) == [(0, 42), (0, 44), (0, 46), (1, 41), (1, 43), (1, 45)]
-    tags = lambda *t: F.array(*map(F.lit, t))
-    assert value(spark, records.implied_tags(tags("ballad", "!pop"), {"ballad": ["pop", "song"]})) == ["song"]
-    assert value(spark, records.implied_tags(tags("ballad", "live"), {"ballad": ["pop", "song"]})) == ["ballad", "pop", "song", "live"]
+
+
+def test_implied_tags(spark):
+    edges = [("pop", "ballad"), ("song", "pop"), ("song", "folk"), ("song", "ballad"), ("x", "y"), ("y", "z")]
+    closure = corpus.closure(spark, spark.createDataFrame(edges, "parent string, child string"))
+    rows = [(1, ["ballad", "!pop"]), (2, ["ballad", "live"]), (3, ["song", "pop", "ballad", "pop"]), (4, []), (5, None), (6, ["z", "!x"]), (7, ["!song", "z"]), (8, ["folk", "!pop"])]
+    got = {r.id: r.tags for r in records.implied_tags(spark.createDataFrame(rows, "id int, tags array<string>"), "id", closure).collect()}
+    assert got == {1: ["song"], 2: ["ballad", "pop", "song", "live"], 3: ["song", "pop", "ballad"], 4: [], 5: [], 6: [], 7: ["z", "y", "x"], 8: ["folk", "song"]}
+
+
+def test_scratch_folders_are_cleaned(spark):
+    from neumata import shared
+
+    shared.clean(spark)
+    kept = shared.folder(spark, "test")(spark.range(3), "t")
+    assert kept.count() == 3 and shared.clean(spark) == 1 and shared.clean(spark) == 0
+    with pytest.raises(Exception, match="(?i)not exist|not_exist|not found"):
+        kept.collect()
 
 
 def test_window_index_is_stored_once(spark, tmp_path):
