@@ -243,9 +243,21 @@ def tie_at_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_diff.agg(F.min("diff").alias("diff"), F.min_by("n", "diff").alias("n_tied"), F.sum("n").alias("n_songs"))
 
 
-@query()
+@query("""WITH RECURSIVE ext AS (
+    SELECT p_partkey AS k, i, j, len(list_filter(range(1, least(length(p_name) - i, length(p_type) - j) + 1), lambda n: substr(p_name, i + 1, n) = substr(p_type, j + 1, n))) AS n
+    FROM (SELECT *, unnest(range(length(p_name))) AS i FROM part), LATERAL (SELECT unnest(range(length(p_type))) AS j) WHERE p_name[i + 1] = p_type[j + 1]
+), blocks AS (
+    SELECT p_partkey AS k, 0 AS a0, length(p_name) AS a1, 0 AS b0, length(p_type) AS b1, 0 AS n FROM part
+    UNION ALL
+    SELECT s.k, s.a0, s.a1, s.b0, s.b1, s.n FROM (
+        SELECT k, unnest([{'a0': a0, 'a1': m.i, 'b0': b0, 'b1': m.j, 'n': 0}, {'a0': m.i + m.n, 'a1': a1, 'b0': m.j + m.n, 'b1': b1, 'n': 0}, {'a0': 0, 'a1': 0, 'b0': 0, 'b1': 0, 'n': m.n}], recursive := true)
+        FROM (SELECT b.k, b.a0, b.a1, b.b0, b.b1, arg_max({'i': e.i, 'j': e.j, 'n': least(e.n, b.a1 - e.i, b.b1 - e.j)}, (least(e.n, b.a1 - e.i, b.b1 - e.j), -e.i, -e.j)) AS m
+              FROM blocks b JOIN ext e ON e.k = b.k AND e.i >= b.a0 AND e.i < b.a1 AND e.j >= b.b0 AND e.j < b.b1 GROUP BY ALL)
+    ) s WHERE s.n > 0 OR (s.a0 < s.a1 AND s.b0 < s.b1)
+) SELECT p_partkey, round(coalesce(2.0 * sum(b.n) / nullif(length(p_name) + length(p_type), 0), 1), 6) AS ratio FROM part JOIN blocks b ON b.k = p_partkey GROUP BY p_partkey, p_name, p_type""")
 def sequencematcher_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ratcliff-Obershelp similarity of each part's name with its type; it has no built-in form, so batches go through Arrow."""
+    """Ratcliff-Obershelp similarity of each part's name with its type: the longest common block, then the same left and right of it.
+    It has no built-in form, so batches go through Arrow; the SQL finds the blocks by recursion."""
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
