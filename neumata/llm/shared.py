@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.shared import shared_folder
+from neumata.shared import clean, new_folder
 
 #: A word: a maximal run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
-#: Folders written by each session, for ``clean``.
-_written: dict[str, list[Scratch]] = {}
+__all__ = ["BLANKS", "WORD", "Scratch", "clean", "is_small", "let", "word_count", "words_of"]
 
 
 class Scratch:
     """Tables written to the shared folder; they cut the lineage and survive lost executors.
 
     Results are lazy and may read these tables, so they stay until ``clean``; what no
-    result reads is dropped at once by the operator that wrote it.
+    result reads is dropped at once by the operator that wrote it. ``clean`` deletes all
+    folders when results have been written; DataFrames returned before are void.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        self.top = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        _written.setdefault(spark.sparkContext.applicationId, []).append(self)
+        self.top = new_folder(spark, name)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.top}/{name}")
@@ -43,17 +41,6 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def clean(spark: SparkSession) -> int:
-    """Delete all scratch folders that this session's operators wrote, and say how many.
-
-    Call it when the results have been written; DataFrames returned before are void.
-    """
-    done = _written.pop(spark.sparkContext.applicationId, [])
-    for scratch in done:
-        scratch.drop()
-    return len(done)
-
-
 def words_of(text: Column) -> Column:
     """The words of a text, in order; null and blank texts have none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

@@ -189,8 +189,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Per row: doc_id, fp (signed long) and component_id, the smallest doc_id reachable over links of at most TAU bits.
 
     Texts without words all have fingerprint zero and so are one class. Null ids take
-    part and never name a component unless it has no other; repeated rows repeat; an
-    empty table gives an empty result.
+    part and never name a component unless it has no other; texts of any length are read
+    whole; repeated rows repeat; an empty table gives an empty result; columns beyond
+    doc_id and text are ignored, whatever their names.
     """
     scratch = Scratch(spark, "documents")
     prints = scratch.keep(fingerprints(docs), "prints")
@@ -211,7 +212,9 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """One row of ``docs`` of each component: the first by doc_id (null last), text digest and digest of the other values.
 
     Components are told apart by fingerprint, so rows without an id, or with an id that
-    other texts have too, stand for their own component alone.
+    other texts have too, stand for their own component alone. Null and blank texts all
+    have fingerprint zero, so one row of them stays; texts of any length are read whole.
+    Columns of any names stay as they are; an empty table gives an empty result.
     """
     scratch = Scratch(spark, "kept")
     prints = scratch.keep(fingerprints(docs, row_key=row_key(docs)), "prints")
