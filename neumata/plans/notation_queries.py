@@ -7,7 +7,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from neumata.functions import alignment, durations
+from neumata.functions import alignment, cleaning, durations
 from neumata.operators import repeats, versions
 from neumata.plans.base import SONGS_SQL, query, songs, table
 from neumata.sources import abc
@@ -113,3 +113,21 @@ def transcription_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").select("p_partkey", notes(name).alias("true"), notes(F.concat(name, "p_type")).alias("longer"), notes(F.reverse(name)).alias("turned"))
     both = rows.select("p_partkey", alignment.transcription_errors("true", "longer").alias("l"), alignment.transcription_errors("true", "turned").alias("t"))
     return both.select("p_partkey", F.col("l.edits").alias("longer_edits"), (F.col("l.extra") - F.col("l.missing")).alias("longer_extra"), F.col("t.edits").alias("turned_edits"))
+
+
+SPELLED_SQL = r"""list_transform(list_transform(found[1:64], lambda t: {'a': regexp_extract(t, '^([#b]?)', 1), 'd': lower(regexp_extract(t, '^[#b]?([qsdhQ]?)', 1)),
+    'b': regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '^[#b]?[qsdhQ]?', ''), '^[iI]', '1'''), '^(['',]*)8(.*)$', '\11''\2'), '^(['',]*)9(.*)$', '\12''\2'), '^([1-7])(,+)([.-]*)''*$', '\2\1\3')}),
+    lambda x: x.a || x.d || regexp_replace(x.b, '^(''+)([1-7])([.-]*)''*$', '\2\1\3'))"""
+
+
+@query(rf"""WITH lines AS (SELECT doc_id, i, trim(lines[i]) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)
+), found AS (SELECT doc_id, i, regexp_extract_all(line, '[#b'',]*[qsdhQ]?[0-9iI][.,''-]*|[-|]') AS found FROM lines WHERE line <> '' AND NOT regexp_matches(line, '^(?:subtitle=|NextScore|KeepLength|R\d*\s*\{{|A\s*\{{|%|#|\\bar)')
+), spelled AS (SELECT doc_id, i, {SPELLED_SQL} AS t FROM found WHERE len(list_filter(found, lambda t: t NOT IN ('|', '-'))) > 0
+), parted AS (SELECT doc_id, i, array_to_string(list_transform(t, lambda x: CASE WHEN regexp_matches(x, '^[qsdh]?[#b'',]*[0-7iI][.,'']*-+.*$') THEN trim(regexp_extract(x, '^([qsdh]?[#b'',]*[0-7iI][.,'']*)', 1)
+    || repeat(' -', length(regexp_extract(x, '^[qsdh]?[#b'',]*[0-7iI][.,'']*(-+)', 1))) || ' ' || regexp_extract(x, '^[qsdh]?[#b'',]*[0-7iI][.,'']*-+(.*)$', 1)) ELSE x END), ' ') AS line FROM spelled)
+SELECT doc_id, count(*) AS n_lines, md5(string_agg(line, chr(10) ORDER BY i)) AS body FROM parted GROUP BY doc_id""")
+def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as a recogniser's prose: the note lines in them (an i in a word is read as a high 1)."""
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), rf"(?m){cleaning.STRUCTURE_LINE}.*$", "")  # lines of structure have tests of their own
+    rows = table(spark, sf_dir, "documents").select("doc_id", cleaning.cleaned(text).alias("lines")).where(F.size("lines") > 0)
+    return rows.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("body"))
