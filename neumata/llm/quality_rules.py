@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from neumata.llm.shared import Scratch, let, words_of
 
 GRAM = 5
-SAMPLE_ROWS = 2_000
-#: Seconds below which measures cost the same, runs of which the shortest counts, and how far below the best a rule is nearly as good.
-LEAST_COST, TRIES, NEARLY = 0.02, 3, 4.0
+SAMPLE_ROWS = 1_000
+#: Seconds below which measures cost the same, runs, of which the shortest counts, and how far below the best a rule is nearly as good.
+LEAST_COST, TRIES, NEARLY = 0.02, 2, 4.0
 
 Measured = Callable[[str], Column]
 
