@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from neumata.functions import alignment, cleaning, durations
 from neumata.operators import repeats, versions
-from neumata.plans.base import SONGS_SQL, query, songs, table
+from neumata.plans.base import SONGS_SQL, query, songs, spread, table
 from neumata.sources import abc
 
 
@@ -46,7 +46,7 @@ def abc_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.get(F.array(*map(F.lit, ("C", "Em", "D", "G dorian"))), (F.col("doc_id") % 4).cast("int"))
     body = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Ga-g]", ""), "(.{64})", "$1 |\n")
     tune = F.concat(F.lit("X:1\nM:4/4\nK:"), key, F.lit("\n"), body)
-    rows = table(spark, sf_dir, "documents").select("doc_id", tune.alias("tune")).lateralJoin(abc.AbcEvents(F.col("tune").outer()))
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", tune.alias("tune"))).lateralJoin(abc.AbcEvents(F.col("tune").outer()))
     return rows.where("kind = 'note'").groupBy("doc_id", "degree", "octave").agg(F.count("*").alias("n"))
 
 
@@ -129,5 +129,5 @@ SELECT doc_id, count(*) AS n_lines, md5(string_agg(line, chr(10) ORDER BY i)) AS
 def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as a recogniser's prose: the note lines in them (an i in a word is read as a high 1)."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), rf"(?m){cleaning.STRUCTURE_LINE}.*$", "")  # lines of structure have tests of their own
-    rows = table(spark, sf_dir, "documents").select("doc_id", cleaning.cleaned(text).alias("lines")).where(F.size("lines") > 0)
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", cleaning.cleaned(text).alias("lines")).where(F.size("lines") > 0)
     return rows.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.md5(F.array_join("lines", "\n").cast("binary")).alias("body"))
