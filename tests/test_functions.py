@@ -155,6 +155,39 @@ def test_meetings_connect_what_shares_a_run(spark, n):
     assert classes(links) == classes([(i, j) for i in range(len(songs)) for j in range(i) if grams[i] & grams[j]])
 
 
+@pytest.mark.parametrize("crowd", [3, 1024])
+def test_pair_links_are_all_pairs(spark, crowd, monkeypatch):
+    """Songs that share enough windows in several short runs, or by way of a third song's passage, are linked to each other, not to the first holder alone."""
+    monkeypatch.setattr(clones, "CROWD", crowd)
+    rng = random.Random(7)
+    text = lambda k: "".join(rng.choices("1234567", k=k))
+    passage, pieces = text(60), [text(20) for _ in range(4)]
+    songs = [passage, text(9) + passage[20:] + text(9), passage[:45] + text(5), text(4) + passage, *(text(6).join(rng.sample(pieces, 3)) + text(5) for _ in range(9))]
+    songs += [passage, songs[5], text(80), text(80) + pieces[0], "1" * 90, "1" * 120 + "2", "12" * 9, "12" * 9, "", None]
+    table = spark.createDataFrame(list(enumerate(songs)), "song_id long, digits string").repartition(3)
+    grams = [{(s or "")[i : i + 14] for i in range(len(s or "") - 13)} for s in songs]
+    first = [songs.index(s) for s in songs]
+    reps = sorted({i for i in first if songs[i] is not None})
+    for least in (2, 12):
+        shared = {(i, j): len(grams[i] & grams[j]) for i in reps for j in reps if j < i} | {(i, f): len(grams[i]) for i, f in enumerate(first) if f < i}
+        expected = {(i, j, k) for (i, j), k in shared.items() if k >= least}
+        assert {tuple(r) for r in clones.pair_links(spark, table, 14, least).collect()} == expected
+        assert len(expected) > len(songs)
+    shifted = table.withColumn("text", F.concat("song_id", "digits"))  # equal digits of different texts are no copies
+    everyone = {(i, j) for i in range(len(songs)) for j in range(i) if len(grams[i] & grams[j]) >= 12}
+    assert {(r.a, r.b) for r in clones.pair_links(spark, shifted, 14, 12).collect()} == everyone
+
+
+def test_shared_runs_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(clones, "BLOCK_SONGS", 2)
+    rng = random.Random(8)
+    songs = ["".join(rng.choices("12", k=rng.randint(0, 40))) for _ in range(12)] + [None]
+    table = spark.createDataFrame(list(enumerate(songs)), "song_id long, digits string")
+    pairs = [(i, j) for i in range(13) for j in range(i)]
+    expected = {(i, j, *r) for i, j in pairs if (r := melody.longest_shared(songs[i] or "", songs[j] or "", 4))[0]}
+    assert {tuple(r) for r in clones.shared_runs(spark.createDataFrame(pairs, "a long, b long"), table, 4, places=True).collect()} == expected
+
+
 def test_meetings_grow_with_the_songs(spark):
     """A passage of all songs gives a meeting a song, where pairs would give the square; so do passages of many overlapping kinds."""
     rng = random.Random(2)
