@@ -20,9 +20,11 @@ A shard is one row, and one file, of a Parquet table in the shared folder:
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -151,61 +153,91 @@ class Shard:
         return out
 
 
+#: Latin letters that are one sign after NFC, and whose small letters are.
+LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
+#: A letter and a sign after it, which the tokenizer parts. Signs of its own marks are not among them.
+PARTED = f"([{LATIN}])([.,;:!?#$%&*])"
+
+
 class Words:
-    """Ids of words, each encoded once by the tokenizers library and remembered until there are MEMORY of them."""
+    """Ids of words, each encoded once by the tokenizers library and remembered until there are MEMORY of them.
+
+    Words of Latin letters alone come in small letters and are one piece each, so they go to the tokenizer's model past its
+    normalizer and its pattern, which take longer than the model.
+    """
 
     MARK = "<|endoftext|>"
+    letters = re.compile(f"[{LATIN}]+")
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
         self.mark_id = self.tokenizer.token_to_id(self.MARK)
         self.last = np.zeros(1 << PLANES, bool)  # ids that end a word
         self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.ascii, self.latin = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.ascii.pre_tokenizer = WhitespaceSplit()
+        self.latin.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         self.forget()
 
     def forget(self) -> None:
         self.number: dict[str, int] = {}
         self.ids, self.sizes = np.empty(0, np.uint16), np.empty(0, np.int32)
 
-    def _encoded(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
-
-    def _parted(self, words: list[str], blank: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words that ``blank`` parts, and their numbers: a mark tells where a word ends, and so do the ids that end one."""
-        ids = self._encoded(blank.join(words))
-        if blank == self.MARK:
-            cuts = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
-            return ids[ids != self.mark_id], np.diff(cuts, prepend=-1) - 1
+    @staticmethod
+    def _encoded(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint16)
+
+    def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of one word, and their number."""
+        ids = self._encoded(self.tokenizer, words[0])
+        return ids, np.array([len(ids)])
+
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, and their numbers: a mark tells where a word ends."""
+        ids = self._encoded(self.tokenizer, self.MARK.join(words))
+        cuts = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+        return ids[ids != self.mark_id], np.diff(cuts, prepend=-1) - 1
+
+    def _single(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that are one piece each, and their numbers: the ids that end a piece tell."""
+        ids = self._encoded(tokenizer, " ".join(words))
         return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
 
     def learn(self, words: list[str]) -> None:
-        kinds: dict[str, list[str]] = {" ": [], self.MARK: [], "": []}
+        kinds: tuple[list[str], ...] = [], [], [], []
         for w in words:
-            kinds["" if self.MARK in w else " " if w.isascii() and w.isalpha() else self.MARK].append(w)
+            if w.isascii():
+                kinds[0 if w.isalpha() else 3 if self.MARK in w else 2].append(w)
+            else:
+                kinds[1 if self.letters.fullmatch(w) else 3 if self.MARK in w else 2].append(w)
+        ways = (lambda x: self._single(self.ascii, x), 1000), (lambda x: self._single(self.latin, x), 1000), (self._marked, 1000), (self._alone, 1)
         ids, sizes = [self.ids], [self.sizes]
-        for blank, some in kinds.items():
-            step = 1000 if blank else 1
+        for some, (encoded, step) in zip(kinds, ways, strict=True):
             for at in range(0, len(some), step):
-                part = some[at : at + step]
-                x, n = self._parted(part, blank) if blank else (x := self._encoded(part[0]), np.array([len(x)]))
+                x, n = encoded(some[at : at + step])
                 ids.append(x)
                 sizes.append(n.astype(np.int32))
             self.number.update(zip(some, range(len(self.number), len(self.number) + len(some)), strict=True))
         self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        """The numbers of words among ``sizes``. Words of ASCII are taken in small letters, as the tokenizer does itself."""
-        keys = [w.lower() if w.isascii() and "<|" not in w else w for w in words]
-        fresh = [w for w in dict.fromkeys(keys) if w not in self.number]
+        """The numbers of words among ``sizes``. Words of ASCII or of Latin letters are taken in small letters, as the tokenizer does itself."""
+        letters = self.letters.fullmatch
+        keys = [w.lower() if ("<|" not in w if w.isascii() else letters(w)) else w for w in words]
+        known = np.fromiter(map(self.number.get, keys, repeat(-1)), np.int64, len(keys))
+        fresh = list(dict.fromkeys([keys[i] for i in np.flatnonzero(known < 0)]))
         if len(self.number) + len(fresh) > MEMORY or len(self.ids) > 16 * MEMORY:
             self.forget()
-            fresh = list(dict.fromkeys(keys))
+            known[:], fresh = -1, list(dict.fromkeys(keys))
         self.learn(fresh)
-        return np.fromiter(map(self.number.__getitem__, keys), np.int64, len(keys))
+        new = np.flatnonzero(known < 0)
+        known[new] = np.fromiter(map(self.number.__getitem__, [keys[i] for i in new]), np.int64, len(new))
+        return known
 
 
 @cache
@@ -219,10 +251,12 @@ def encoder(vocabulary: str) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarra
     words = Words(vocabulary)
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parted = pc.replace_substring_regex(pc.fill_null(texts, ""), "([A-Za-z])([.,;:!?])", r"\1 \2")
+        parted = pc.replace_substring_regex(pc.fill_null(texts, ""), PARTED, r"\1 \2")
+        if not pc.any(pc.match_substring(parted, "<|")).as_py():  # marks are not read in small letters
+            parted = pc.ascii_lower(parted)
         lists = pc.ascii_split_whitespace(parted)
         coded = lists.flatten().dictionary_encode()
-        number = words.numbers(coded.dictionary.to_pylist())
+        number = words.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         first = np.cumsum(words.sizes, dtype=np.int32) - words.sizes
         number = number[coded.indices.to_numpy(zero_copy_only=False)]
         per_word = words.sizes[number]

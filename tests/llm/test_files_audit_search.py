@@ -55,6 +55,25 @@ def test_words_of_a_corpus_are_encoded_as_whole_texts(whole_tokenizer):
     assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
 
 
+def test_latin_words_go_past_the_normalizer():
+    """Every letter of LATIN, alone, in words and before a sign, has the ids of the whole text, and none of these words is encoded one by one."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(f"{token_files.VOCABULARY}.json"))
+    letters = [c for c in map(chr, range(0x41, 0x250)) if token_files.Words.letters.fullmatch(c)]
+    assert len(letters) > 400 and not {"×", "÷", "İ"} & set(letters)
+    texts = [f"{c} a{c} {c}B{c}{c}$$$ {c};{c} {c}'s x{c}#×;÷ \u0130{c} {c}\u0301 <|{c}|> {c}<|endoftext|>" for c in letters]
+    texts += ["don't% DON'T& it's* we'll: ×$ a\u0301$ 'S", "".join(letters), "<|ENDOFTEXT|> A", "A<|endoftext|>B$"]
+    for group in ([t] for t in texts):
+        ids, sizes = token_files.encoder(token_files.VOCABULARY)(pa.array(group))
+        assert ids.tolist() == tokenizer.encode(group[0], add_special_tokens=False).ids
+        assert sizes.tolist() == [len(ids)]
+    words = token_files.Words(token_files.VOCABULARY)
+    words._marked = words._alone = None
+    words.numbers([c + "a" + c for c in letters if token_files.Words.letters.fullmatch(c.lower())] + ["Abc"])
+
+
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
 def test_shard_answers_without_decoding(n):
     rng = np.random.default_rng(n)
