@@ -1,8 +1,13 @@
 """What showed on larger tables only: ties, hot keys, tables too large to meet pair by pair."""
 
+import random
+
 import duckdb
+import pytest
 
 from neumata import plans
+from neumata.functions import nearness
+from neumata.operators import evaluation, records, search
 
 
 def test_page_choice_rounds_as_sql_does(spark, tmp_path):
@@ -16,10 +21,63 @@ def test_page_choice_rounds_as_sql_does(spark, tmp_path):
 
 
 def test_page_choice_of_equal_files_is_the_portrait(spark):
-    from neumata.operators import records
-
     pages = [(7, 2, "p2", 400, 101 + 900 * (k % 2), 50, False) for k in range(40)] + [(7, 1, "p1", 400, 900, 10, False)]
     schema = "folder int, number int, name string, width int, height int, size long, second_first boolean"
     for part in (pages, pages[::-1]):
         best = records.chosen_page(spark.createDataFrame(part, schema), "folder").collect()
         assert [tuple(r) for r in best] == [(7, "p2")]
+
+
+def drawn_songs(seed, n, longest=80):
+    rng = random.Random(seed)
+    return ["".join(rng.choices("1234567", k=rng.choice([0, 3, 9, 30, longest]))) for _ in range(n)] + [None]
+
+
+def plain_windows(text, q):
+    return [(sum(a != b for a, b in zip(text[i:], q)), i) for i in range(len(text or "") - len(q) + 1)]
+
+
+@pytest.mark.parametrize("pieces", [(1 << 16, 1 << 18, 1 << 20), (16, 16, 4)])
+def test_many_queries_in_many_texts(monkeypatch, pieces):
+    for name, size in zip(("PIECE", "SEEDED", "COMPARED"), pieces, strict=True):
+        monkeypatch.setattr(nearness, name, size)
+    rng = random.Random(3)
+    for seed in range(40):
+        texts = drawn_songs(seed, rng.randint(1, 20))
+        queries = [nearness.Query(k, "".join(rng.choices("1234567", k=rng.choice([5, 9, 11]))).encode(), rng.choice([0, 1, 2, 3, 5])) for k in range(10)]
+        found, got = nearness.Texts(texts), {}
+        for rows in nearness.near(found, queries):
+            for number, text, diff, pos in zip(*(x.tolist() for x in rows), strict=True):
+                got[number, text] = min(got.get((number, text), (99, 0)), (diff, pos))
+        every = {(q.number, t): min(w) for q in queries for t, text in enumerate(texts) if (w := plain_windows(text, q.code.decode()))}
+        assert got == {key: best for key, best in every.items() if best[0] <= queries[key[0]].most}
+        for q in queries:
+            both = [w for v in (q.code.decode(), q.code.decode()[1:]) for t in texts[1:] for w, _ in plain_windows(t, v)]
+            assert found.least([q.code, q.code[1:]], 0) == min(both, default=None)
+
+
+def test_seeds_of_many_queries_shuffle_no_windows(spark, monkeypatch):
+    monkeypatch.setattr(search, "FEW", 3)
+    texts = drawn_songs(5, 60)
+    songs = spark.createDataFrame(list(enumerate(texts)), "song_id long, digits string")
+    asked = [(k, t[2:13]) for k, t in enumerate(texts) if len(t or "") >= 20]
+    hits = search.seed_search(songs, spark.createDataFrame(asked, "query_id long, q string"), 11, 1)
+    expected = {(i, k, *min(w)) for i, q in asked for k, t in enumerate(texts) if (w := plain_windows(t, q)) and min(w)[0] <= 1}
+    assert len(asked) > 9 and {tuple(r) for r in hits.select("query_id", "song_id", "diff", "pos").collect()} == expected
+    assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leaving_out_the_own_song(spark):
+    texts = [t for t in drawn_songs(8, 50, 60) if t]
+    songs = [(k, f"t{k % 6}", t) for k, t in enumerate(texts)]
+    asked = [(k, title, t[1:12]) for k, title, t in songs if len(t) >= 30 and k % 2 == 0]
+    frags = spark.createDataFrame(asked, "query_id long, true_title string, q string")
+    got = evaluation.nearer_titles(spark.createDataFrame(songs, "song_id long, title string, digits string"), frags, without_own=True)
+    expected = {}
+    for i, true, q in asked:
+        best = {}
+        for k, title, t in songs:
+            if k != i and (w := plain_windows(t, q)):
+                best[title] = min(best.get(title, 99), min(w)[0])
+        expected |= {(i, title): d for title, d in best.items() if d <= best.get(true, -1)}
+    assert {(r.query_id, r.title): r["diff"] for r in got.collect()} == expected
