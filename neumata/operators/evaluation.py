@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from neumata.functions import melody, nearness
 from neumata.operators.search import FEW, blocks
 
-#: Queries of a block that is scored by all scorers; its edits are an array beside each song.
-SCORED = 500
+#: Queries of a block that is scored by all scorers, and how many songs a task looks at before it knows what is near.
+SCORED, FIRST_SONGS = 2000, (16, 128, 1024)
 
 
 def _drawn(what: str, n: int, seed: int) -> Column:
@@ -131,35 +131,60 @@ def hit_rates(frags: DataFrame, best: DataFrame) -> DataFrame:
     return frags.agg(F.count("*").alias("queries")).crossJoin(rates)  # one row and one row
 
 
+def _nearest_windows(songs: DataFrame, block: list, top: int) -> DataFrame:
+    """(query_id, song_id, title, diff): the songs with the ``top`` best windows of each query, of equals the smallest song_id, as each task
+    knows them. A task looks at a few songs first and then only for what is as good as the last that it holds of a query."""
+    ids = np.array([r["query_id"] for r in block])
+    codes = [r["q"].encode() for r in block]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = pd.DataFrame({"number": np.empty(0, np.int64), "diff": np.empty(0, np.int64), "song_id": np.empty(0, np.int64), "title": np.empty(0, object)})
+        for whole in batches:
+            for pdf in (whole[a:b] for a, b in pairwise([0, *(n for n in FIRST_SONGS if n < len(whole)), len(whole)])):
+                full = best.groupby("number")["diff"].agg(["size", "max"])
+                most = {k: m for k, n, m in full.itertuples() if n >= top}
+                asked = [nearness.Query(k, code, most.get(k, len(code))) for k, code in enumerate(codes)]
+                song, title = pdf["song_id"].to_numpy(), pdf["title"].to_numpy(object)
+                for number, text, diff, _ in _held(nearness.near(nearness.Texts(pdf["digits"]), asked)):
+                    rows = pd.DataFrame({"number": number, "diff": diff, "song_id": song[text], "title": title[text]})
+                    rows = pd.concat([best, rows]).sort_values(["number", "diff", "song_id"]).drop_duplicates(["number", "song_id"])
+                    best = rows.groupby("number").head(top)
+        yield pd.DataFrame({"query_id": ids[best["number"]], "song_id": best["song_id"], "title": best["title"], "diff": best["diff"]})
+
+    return songs.select("song_id", "title", "digits").mapInPandas(run, "query_id long, song_id long, title string, diff int")
+
+
+def _shortest(songs: DataFrame, n: int, top: int) -> DataFrame:
+    """The songs that may be among the ``top`` least edits away from a text of n symbols. A song of m symbols is max(m, n) edits away at
+    most and m - n at least, so much longer ones than the ``top`` shortest cannot be; of equal digits the first ``top`` songs do."""
+    sized = songs.select("song_id", "title", "digits", F.length("digits").alias("m")).where("digits IS NOT NULL")
+    lengths = [r["m"] for r in sized.select("m").orderBy("m").limit(top).collect()]
+    short = sized if len(lengths) < top else sized.where(F.col("m") <= max(n, lengths[-1]) + n)
+    alike = F.row_number().over(Window.partitionBy("digits").orderBy("song_id", "title"))
+    return short.withColumn("k", alike).where(F.col("k") <= top).select("song_id", "title", "digits")
+
+
 def nearest_songs(songs: DataFrame, frags: DataFrame, top: int) -> DataFrame:
     """(scorer, query_id, song_id, title, diff): the first ``top`` songs of each query by exact containment, by edits to whole scores and
-    by the best window; equal scores go by song_id. Blocks of queries go over all songs; a task keeps ``top`` songs a query and scorer."""
-    scorers = ("exact", "edits", "window")
+    by the best window; equal scores go by song_id. Blocks of queries go over all songs.
 
-    def scan(block: list) -> DataFrame:
-        ids, texts = [r["query_id"] for r in block], [r["q"] for r in block]
-        edits = F.transform(F.array(*map(F.lit, texts)), lambda q: F.levenshtein("digits", q))
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held: dict[tuple, list] = defaultdict(list)
-            for pdf in batches:
-                for song, title, digits, far in zip(pdf["song_id"], pdf["title"], pdf["digits"], pdf["edits"], strict=True):
-                    for i, q, edit in zip(ids, texts, far, strict=True):
-                        window = melody.least_differing(digits, [q])
-                        for scorer, diff in zip(scorers, (0 if window == 0 else 1, int(edit), window), strict=True):
-                            some = held[scorer, i]
-                            if diff is not None and (len(some) < top or (diff, song) < some[-1][:2]):
-                                bisect.insort(some, (diff, song, title))
-                                del some[top:]
-            rows = [(scorer, i, song, title, diff) for (scorer, i), some in held.items() for diff, song, title in some]
-            yield pd.DataFrame(rows, columns=["scorer", "query_id", "song_id", "title", "diff"])
-
-        return songs.select("song_id", "title", "digits", edits.alias("edits")).mapInPandas(run, "scorer string, query_id long, song_id long, title string, diff int")
-
-    found = [scan(block) for block in blocks(frags.select("query_id", "q"), SCORED)]
-    none = songs.select(F.lit("").alias("scorer"), F.lit(0).cast("long").alias("query_id"), "song_id", "title", F.lit(0).alias("diff")).where(F.lit(False))
+    Songs that hold a query have its best windows; where they are too few, the first songs that do not hold it follow.
+    """
     place = F.row_number().over(Window.partitionBy("scorer", "query_id").orderBy("diff", "song_id", "title"))
-    return reduce(DataFrame.unionByName, found, none).withColumn("place", place).where(F.col("place") <= top)
+    first = lambda rows: rows.withColumn("place", place).where(F.col("place") <= top)
+    columns = ["scorer", "query_id", "song_id", "title", "diff"]
+    out = songs.select(F.lit("").alias("scorer"), F.lit(0).cast("long").alias("query_id"), "song_id", "title", F.lit(0).alias("diff")).where(F.lit(False))
+    fillers = songs.where("digits IS NOT NULL").select("song_id", "title").orderBy("song_id", "title").limit(2 * top)
+    for block in blocks(frags.select("query_id", "q"), SCORED):
+        window = first(_nearest_windows(songs, block, top).withColumn("scorer", F.lit("window"))).select(*columns)
+        asked = F.broadcast(songs.sparkSession.createDataFrame([(r["query_id"], r["q"]) for r in block], "query_id long, q string"))
+        held = window.where("diff = 0").withColumn("scorer", F.lit("exact"))
+        others = fillers.crossJoin(asked.select("query_id")).withColumn("diff", F.lit(1)).withColumn("scorer", F.lit("exact"))
+        exact = held.unionByName(others.join(held.select("query_id", "song_id"), ["query_id", "song_id"], "left_anti"))
+        short = _shortest(songs, max(len(r["q"]) for r in block), top).crossJoin(asked)
+        edits = short.select(F.lit("edits").alias("scorer"), "query_id", "song_id", "title", F.levenshtein("digits", "q").alias("diff"))
+        out = out.unionByName(window).unionByName(exact.select(*columns)).unionByName(edits)
+    return first(out)
 
 
 def baselines(songs: DataFrame, frags: DataFrame, top: int = 5) -> DataFrame:

@@ -67,6 +67,35 @@ def test_seeds_of_many_queries_shuffle_no_windows(spark, monkeypatch):
     assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
 
 
+def test_nearest_songs_equal_plain_scores(spark, monkeypatch):
+    monkeypatch.setattr(evaluation, "FIRST_SONGS", (2, 5))
+    monkeypatch.setattr(evaluation, "SCORED", 4)
+    texts = drawn_songs(6, 70, 40) + ["1", "2", "1", "1", "12", "12"]
+    texts += [t[3:] for t in texts if len(t or "") >= 30][:8]
+    rows = [(k * 7 % 101, f"t{k % 4}", t) for k, t in enumerate(texts) if t is not None]
+    songs = spark.createDataFrame(rows, "song_id long, title string, digits string")
+    asked = [(i, title, t[4:15]) for i, title, t in rows if len(t) >= 30][:10]
+    best = evaluation.nearest_songs(songs, spark.createDataFrame(asked, "query_id long, true_title string, q string"), 3)
+    got = {(r.scorer, r.query_id, r.place): (r.song_id, r["diff"]) for r in best.collect()}
+    expected = {}
+    for i, _, q in asked:
+        window = sorted((min(w)[0], k) for k, _, t in rows if (w := plain_windows(t, q)))
+        exact = sorted((0 if q in t else 1, k) for k, _, t in rows)
+        edits = sorted((levenshtein(t, q), k) for k, _, t in rows)
+        for scorer, scores in (("window", window), ("exact", exact), ("edits", edits)):
+            expected |= {(scorer, i, place): (k, d) for place, (d, k) in enumerate(scores[:3], 1)}
+    assert got == expected
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def test_leaving_out_the_own_song(spark):
     texts = [t for t in drawn_songs(8, 50, 60) if t]
     songs = [(k, f"t{k % 6}", t) for k, t in enumerate(texts)]
