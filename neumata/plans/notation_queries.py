@@ -46,8 +46,8 @@ def abc_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.get(F.array(*map(F.lit, ("C", "Em", "D", "G dorian"))), (F.col("doc_id") % 4).cast("int"))
     body = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Ga-g]", ""), "(.{64})", "$1 |\n")
     tune = F.concat(F.lit("X:1\nM:4/4\nK:"), key, F.lit("\n"), body)
-    rows = spread(table(spark, sf_dir, "documents").select("doc_id", tune.alias("tune"))).lateralJoin(abc.AbcEvents(F.col("tune").outer()))
-    return rows.where("kind = 'note'").groupBy("doc_id", "degree", "octave").agg(F.count("*").alias("n"))
+    tunes = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", tune.alias("tune"))
+    return abc.counted_notes(tunes).groupBy("doc_id", "degree", "octave").agg(F.sum("n").alias("n"))
 
 
 HEADS_SQL = ", ".join(f"('{name}{dot}', {float(value * (Fraction(3, 2) if dot else 1))}, {2 * k + bool(dot)})" for k, (name, value) in enumerate(durations.LETTERS) for dot in ("", "."))
