@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from neumata import plans
 from neumata.functions import nearness, runs
@@ -174,3 +175,16 @@ def test_notes_are_counted_as_the_events_are(spark, key):
     table = spark.createDataFrame(list(enumerate(tunes)), "id long, tune string")
     got = {tuple(r) for r in abc.counted_notes(table).collect()}
     assert got == {(k, *pitch, n) for k, notes in enumerate(expected) for pitch, n in notes.items()}
+
+
+def test_unique_windows_of_a_large_group_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(clones, "DEALT", 300)
+    rows = [(k, k % 2, t) for k, t in clone_songs(3, 40)]
+    songs = spark.createDataFrame(rows, "song_id long, group long, digits string")
+    dealt = clones.dealt_windows(songs, 11)
+    sizes = dealt.groupBy("part").agg(F.sum(F.length("codes") / 8).alias("n")).collect()
+    assert len(sizes) > 5 and max(r.n for r in sizes) < 3 * sum(r.n for r in sizes) / len(sizes)
+    own = {k: {t[i : i + 11] for i in range(len(t) - 10)} for k, _, t in rows if t}
+    others = lambda k: set().union(*(own[j] for j in own if j != k and j % 2 == k % 2))
+    expected = {(k, len(w), len(w - others(k))) for k, w in own.items() if w}
+    assert {tuple(r) for r in clones.unique_windows(songs, 11).collect()} == expected
